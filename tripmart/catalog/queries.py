@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,11 +69,25 @@ def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.classify(trips, _zone_ids(spark, sf_dir), DRIVER_RULES, DRIVER_INGESTED_AT, hot)
 
 
-def _served(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+class RoundedMarts(Mapping[str, DataFrame]):
     """Relations with rounded marts, so that sort keys agree between engines."""
-    relations = driver_relations(spark, sf_dir)
-    marts = [name for name in serving.MARTS if name != "mart_anomalous_trips"]
-    return relations | {name: comparable(relations[name]) for name in marts}
+
+    def __init__(self, relations: Mapping[str, DataFrame]) -> None:
+        self._relations = relations
+
+    def __getitem__(self, name: str) -> DataFrame:
+        relation = self._relations[name]
+        return comparable(relation) if name in serving.ROLLED_UP_MARTS else relation
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._relations)
+
+    def __len__(self) -> int:
+        return len(self._relations)
+
+
+def _served(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    return RoundedMarts(driver_relations(spark, sf_dir))
 
 
 # --- from raw trips to classified rows ---------------------------------------------------------

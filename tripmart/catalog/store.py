@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.plans.pipeline import replace_months
@@ -31,5 +33,5 @@ def driver_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _BUILT[key]
 
 
-def driver_relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def driver_relations(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return driver_warehouse(spark, sf_dir).relations()

@@ -16,14 +16,14 @@ from tripmart.plans.rollups import overview_totals, route_rollup, time_rollup, z
 
 Relations = Mapping[str, DataFrame]
 
-MARTS = (
+ROLLED_UP_MARTS = (
     "mart_daily_trip_metrics",
     "mart_hourly_demand",
     "mart_zone_demand",
     "mart_route_metrics",
     "mart_revenue_metrics",
-    "mart_anomalous_trips",
 )
+MARTS = (*ROLLED_UP_MARTS, "mart_anomalous_trips")
 KEY_RELATIONS = ("fct_trips", "dim_zone", *MARTS)
 EXPORT_LIMIT = 10_000
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import cached_property, partial
 from itertools import batched
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -32,6 +33,10 @@ TRIPS_SCHEMA = T.StructType(
 )
 ZONES_SCHEMA = "location_id int, borough string, zone_name string, service_zone string"
 
+ROLLUPS = {"time_rollup": rollups.time_rollup, "route_rollup": rollups.route_rollup}
+ANOMALIES = "mart_anomalous_trips"
+ANOMALY_BODY = [name for name in models.FACT_COLUMNS if name not in MONTH_COLUMNS]
+
 # Marts that derive from a rollup, rebuilt whole because rollups are small.
 ROLLUP_MARTS = {
     "mart_daily_trip_metrics": ("time_rollup", rollups.mart_daily),
@@ -54,6 +59,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.rules = rules
+        self._schemas: dict[str, T.StructType] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -118,47 +124,80 @@ class Warehouse:
                 empty = self.spark.createDataFrame([], body)
                 empty.coalesce(1).write.mode("overwrite").parquet(f"{self.path(name)}/{folder}")
 
-    def relations(self) -> dict[str, DataFrame]:
-        """Every relation the served queries and data checks use, by name."""
-        staged = models.stg_trips(self.staging())
-        zones = self.zones()
-        stg_zones = models.stg_zones(zones)
-        by_time = self._read("time_rollup")
-        found = {
-            "yellow_trips": self.staging(),
-            "taxi_zones": zones,
-            "stg_trips": staged,
-            "stg_zones": stg_zones,
-            "fct_trips": models.fct_trips(staged),
-            "dim_zone": models.dim_zone(stg_zones, self.rules),
-            "dim_date": models.dim_date(by_time),
-            "dim_hour": models.dim_hour(self.spark),
-            "dim_payment_type": models.dim_payment_type(self.spark),
-            "dim_rate_code": models.dim_rate_code(self.spark),
-            "time_rollup": by_time,
-            "route_rollup": self._read("route_rollup"),
-            "mart_anomalous_trips": self._read("mart_anomalous_trips").select(*models.FACT_COLUMNS),
-        }
-        for name in ROLLUP_MARTS:
-            found[name] = self._read(name)
-        return found
+    def relations(self) -> "StoredRelations":
+        return StoredRelations(self)
+
+    def stored(self, name: str) -> DataFrame:
+        """A derived table, read with the schema its definition gives (no file is opened for it)."""
+        table = self._read(name, self._derived_schema(name))
+        return table.select(*models.FACT_COLUMNS) if name == ANOMALIES else table
+
+    @cached_property
+    def _empty_trips(self) -> DataFrame:
+        return models.with_pickup_clock(self.spark.createDataFrame([], CLASSIFIED_SCHEMA))
+
+    def _derived_schema(self, name: str) -> T.StructType:
+        if name not in self._schemas:
+            if name in ROLLUPS:
+                derived = ROLLUPS[name](self._empty_trips, *MONTH_COLUMNS)
+            elif name == ANOMALIES:
+                derived = self._empty_trips.select(*ANOMALY_BODY, *MONTH_COLUMNS)
+            else:
+                source, build = ROLLUP_MARTS[name]
+                derived = build(ROLLUPS[source](self._empty_trips))
+            self._schemas[name] = derived.schema
+        return self._schemas[name]
 
     def rebuild_marts(self) -> None:
         for name, (source, build) in ROLLUP_MARTS.items():
-            self.replace_table(name, build(self._read(source)))
+            self.replace_table(name, build(self.stored(source)))
 
     def derive_months(self, months: Sequence[Month]) -> None:
         """Recompute rollups and anomalies of the given months from their staged rows."""
         keys = [(m.service, m.year, m.month) for m in months]
         wanted = F.struct(*MONTH_COLUMNS).isin([F.struct(*map(F.lit, key)) for key in keys])
         staged = models.with_pickup_clock(models.stg_trips(self.staging().where(wanted)))
-        self.replace_partitions("time_rollup", rollups.time_rollup(staged, *MONTH_COLUMNS), MONTH_COLUMNS, keys)
-        self.replace_partitions("route_rollup", rollups.route_rollup(staged, *MONTH_COLUMNS), MONTH_COLUMNS, keys)
-        unusual = models.mart_anomalous_trips(staged, self.rules)
-        body = [name for name in models.FACT_COLUMNS if name not in MONTH_COLUMNS]
-        self.replace_partitions(
-            "mart_anomalous_trips", unusual.select(*body, *MONTH_COLUMNS), MONTH_COLUMNS, keys
-        )
+        for name, rollup in ROLLUPS.items():
+            self.replace_partitions(name, rollup(staged, *MONTH_COLUMNS), MONTH_COLUMNS, keys)
+        unusual = models.mart_anomalous_trips(staged, self.rules).select(*ANOMALY_BODY, *MONTH_COLUMNS)
+        self.replace_partitions(ANOMALIES, unusual, MONTH_COLUMNS, keys)
+
+
+class StoredRelations(Mapping[str, DataFrame]):
+    """Every relation of a warehouse by name; a relation is only opened when it is asked for."""
+
+    def __init__(self, warehouse: Warehouse) -> None:
+        spark, rules = warehouse.spark, warehouse.rules
+
+        def staged() -> DataFrame:
+            return models.stg_trips(warehouse.staging())
+
+        def zones() -> DataFrame:
+            return models.stg_zones(warehouse.zones())
+
+        self._builders: dict[str, Callable[[], DataFrame]] = {
+            "yellow_trips": warehouse.staging,
+            "taxi_zones": warehouse.zones,
+            "stg_trips": staged,
+            "stg_zones": zones,
+            "fct_trips": lambda: models.fct_trips(staged()),
+            "dim_zone": lambda: models.dim_zone(zones(), rules),
+            "dim_date": lambda: models.dim_date(warehouse.stored("time_rollup")),
+            "dim_hour": lambda: models.dim_hour(spark),
+            "dim_payment_type": lambda: models.dim_payment_type(spark),
+            "dim_rate_code": lambda: models.dim_rate_code(spark),
+        }
+        for name in (*ROLLUPS, *ROLLUP_MARTS, ANOMALIES):
+            self._builders[name] = partial(warehouse.stored, name)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._builders[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
 
 
 def month_batches(months: Sequence[Month], per_month: int) -> list[tuple[Month, ...]]:

@@ -25,6 +25,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **settings
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tripmart")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for name, value in {**SESSION_SETTINGS, **settings}.items():
