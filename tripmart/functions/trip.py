@@ -55,43 +55,39 @@ def touches(zone_ids: Iterable[int], *columns: str) -> Column:
     return found
 
 
-# A double as Spark prints it outside 1e-3..1e7.
-EXPONENT_TEXT = r"^-?\d+\.\d+E-?\d+$"
-
-
-def without_exponent(text: Column) -> Column:
-    """Write out the digits of a double's text: 1.0E7 becomes 10000000.0, 1.0E-4 becomes 0.0001.
-
-    Done for sizes from 1e-4 up to 1e16; beyond that the text stays as it is.
-    """
-    size = F.abs(text.try_cast("double"))
-    digits = F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), "0+$", "")
-    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-    return F.when(text.rlike(EXPONENT_TEXT) & (size >= 1e-4) & (size < 1e16), plain).otherwise(text)
-
-
-def _texts(columns: Sequence[tuple[str, str]]) -> list[Column]:
-    return [F.coalesce(F.col(name).cast("string"), F.lit(NULL_MARK)) for name, _ in columns]
+def _texts(columns: Sequence[tuple[str, str]]) -> list[str]:
+    return [f"coalesce(cast({name} AS string), '{NULL_MARK}')" for name, _ in columns]
 
 
 def record_text(columns: Sequence[tuple[str, str]]) -> Column:
     """Typed columns, given as (name, type), joined in order as Spark prints them."""
-    return F.concat_ws(FIELD_SEPARATOR, *_texts(columns))
+    return F.expr(f"concat_ws('{FIELD_SEPARATOR}', {', '.join(_texts(columns))})")
+
+
+# Writes out the digits of a double's text: 1.0E7 becomes 10000000.0, 1.0E-4 becomes 0.0001. Done
+# for sizes from 1e-4 up to 1e16; beyond that, and for other columns, the text stays as it is.
+DIGITS = "regexp_replace(cast(try_cast(part.text AS decimal(38,20)) AS string), '0+$', '')"
+WITHOUT_EXPONENT = f"""
+    CASE WHEN part.number AND part.text RLIKE '^-?[0-9]+[.][0-9]+E-?[0-9]+$'
+              AND abs(try_cast(part.text AS double)) BETWEEN 1e-4 AND 9999999999999998
+         THEN {DIGITS} || CASE WHEN {DIGITS} LIKE '%.' THEN '0' ELSE '' END
+         ELSE part.text END"""
 
 
 def record_hash(text: str, columns: Sequence[tuple[str, str]]) -> Column:
-    """md5 of a record_text column, with the digits of very large or small doubles written out."""
+    """md5 of a record_text column, with the digits of very large or small doubles written out.
+
+    Exponents are rare: most rows are only searched for the letter.
+    """
     marked = [
-        F.struct(value.alias("text"), F.lit(kind == "double").alias("number"))
+        f"named_struct('text', {value}, 'number', {'true' if kind == 'double' else 'false'})"
         for value, (_, kind) in zip(_texts(columns), columns, strict=True)
     ]
-    rewritten = F.transform(
-        F.array(*marked),
-        lambda part: F.when(part["number"], without_exponent(part["text"])).otherwise(part["text"]),
+    rewritten = f"transform(array({', '.join(marked)}), part -> {WITHOUT_EXPONENT})"
+    return F.expr(
+        f"md5(CASE WHEN contains({text}, 'E') AND {text} RLIKE '[0-9]E-?[0-9]' "
+        f"THEN concat_ws('{FIELD_SEPARATOR}', {rewritten}) ELSE {text} END)"
     )
-    # Exponents are rare: most rows are only searched for the letter.
-    may_have_exponent = F.col(text).contains("E") & F.col(text).rlike(r"\dE-?\d")
-    return F.md5(F.when(may_have_exponent, F.concat_ws(FIELD_SEPARATOR, rewritten)).otherwise(F.col(text)))
 
 
 def trip_id(record: Column, rank: Column) -> Column:

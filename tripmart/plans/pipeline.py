@@ -19,7 +19,7 @@ from tripmart.operators.profile import profile_files
 from tripmart.operators.ranking import HOT_GROUP_ROWS, MonthSurvey, hot_records, survey_months
 from tripmart.operators.summary import validation_summary
 from tripmart.plans.serving import readiness
-from tripmart.plans.warehouse import OUTCOMES, REJECTED, VALIDATED, Warehouse, month_batches
+from tripmart.plans.warehouse import OUTCOMES, REJECTED, VALIDATED, Warehouse, by_partition, month_batches
 from tripmart.sources.summaries import write_summaries
 from tripmart.sources.trips import read_month
 from tripmart.sources.zones import read_zone_file, zone_ids, zone_table
@@ -46,11 +46,10 @@ def month_buckets(surveys: Sequence[MonthSurvey], tasks: int) -> Column | None:
         return None
     total = sum(survey.rows for survey in surveys)
     rows_per_bucket = max(1, min(ROWS_PER_FILE, math.ceil(total / (FILES_PER_TASK * tasks))))
-    buckets = F.lit(1)
-    for survey in surveys:
-        here = _in_months([survey.month])
-        buckets = F.when(here, math.ceil(survey.rows / rows_per_bucket)).otherwise(buckets)
-    return buckets
+    buckets = {
+        (s.month.service, s.month.year, s.month.month): math.ceil(s.rows / rows_per_bucket) for s in surveys
+    }
+    return by_partition(MONTH_COLUMNS, buckets, "bigint")
 
 
 def validate_months(

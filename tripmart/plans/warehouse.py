@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import cached_property, partial
 from itertools import batched
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import InheritableThread
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -47,6 +48,32 @@ ROLLUP_MARTS = {
 }
 
 
+def side_by_side(jobs: Sequence[Callable[[], None]]) -> None:
+    """Submit a few independent Spark jobs together; the first failure is raised."""
+    failures: list[Exception] = []
+
+    def run(job: Callable[[], None]) -> None:
+        try:
+            job()
+        except Exception as error:  # noqa: BLE001 - handed to the caller below
+            failures.append(error)
+
+    threads = [InheritableThread(target=run, args=(job,)) for job in jobs]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    if failures:
+        raise failures[0]
+
+
+def by_partition(columns: Sequence[str], values: Mapping[tuple, int], kind: str) -> Column:
+    """A number per partition, looked up by its key columns; NULL for partitions not listed."""
+    pairs = [F.lit(item) for key, number in values.items() for item in ("/".join(map(str, key)), number)]
+    lookup = F.create_map(*pairs).cast(f"map<string, {kind}>")
+    return lookup[F.concat_ws("/", *[F.col(column).cast("string") for column in columns])]
+
+
 class Warehouse:
     """Tables under one root folder.
 
@@ -100,13 +127,8 @@ class Warehouse:
         would keep its old content, so the write records which ones were hit, and an empty file
         replaces the others.
         """
-        hit = F.lit(0).cast("bigint")
-        for position, values in enumerate(partitions):
-            matches = [F.col(column).eqNullSafe(F.lit(value)) for column, value in zip(columns, values, strict=True)]
-            here = matches[0]
-            for match in matches[1:]:
-                here = here & match
-            hit = F.when(here, F.lit(1 << position).cast("bigint")).otherwise(hit)
+        bits = {values: 1 << position for position, values in enumerate(partitions)}
+        hit = by_partition(columns, bits, "bigint")
         seen = Observation()
         (
             rows.observe(seen, F.bit_or(hit).alias("mask"))
@@ -149,18 +171,25 @@ class Warehouse:
         return self._schemas[name]
 
     def rebuild_marts(self) -> None:
-        for name, (source, build) in ROLLUP_MARTS.items():
-            self.replace_table(name, build(self.stored(source)))
+        """Rewrite the marts that derive from rollups; the jobs are independent and run side by side."""
+        side_by_side(
+            [
+                partial(self.replace_table, name, build(self.stored(source)))
+                for name, (source, build) in ROLLUP_MARTS.items()
+            ]
+        )
 
     def derive_months(self, months: Sequence[Month]) -> None:
         """Recompute rollups and anomalies of the given months from their staged rows."""
         keys = [(m.service, m.year, m.month) for m in months]
         wanted = F.struct(*MONTH_COLUMNS).isin([F.struct(*map(F.lit, key)) for key in keys])
         staged = models.with_pickup_clock(models.stg_trips(self.staging().where(wanted)))
-        for name, rollup in ROLLUPS.items():
-            self.replace_partitions(name, rollup(staged, *MONTH_COLUMNS), MONTH_COLUMNS, keys)
-        unusual = models.mart_anomalous_trips(staged, self.rules).select(*ANOMALY_BODY, *MONTH_COLUMNS)
-        self.replace_partitions(ANOMALIES, unusual, MONTH_COLUMNS, keys)
+        tables = {name: rollup(staged, *MONTH_COLUMNS) for name, rollup in ROLLUPS.items()}
+        unusual = models.mart_anomalous_trips(staged, self.rules)
+        tables[ANOMALIES] = unusual.select(*ANOMALY_BODY, *MONTH_COLUMNS)
+        side_by_side(
+            [partial(self.replace_partitions, name, rows, MONTH_COLUMNS, keys) for name, rows in tables.items()]
+        )
 
 
 class StoredRelations(Mapping[str, DataFrame]):

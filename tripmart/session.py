@@ -14,6 +14,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Do not record the Python call site of every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Pages far down a list sort across the cluster instead of keeping limit+offset rows per task.
     "spark.sql.execution.topKSortFallbackThreshold": "1000000",
 }
