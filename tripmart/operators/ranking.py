@@ -102,16 +102,19 @@ def rank_copies(
 
 
 def _rank_together(keyed: DataFrame, buckets: Column | None) -> DataFrame:
-    """One shuffle: rows move by month and record key, or by month and bucket of that key."""
+    """One shuffle: rows move by record key, or by month and bucket of that key.
+
+    The place is a single column, never a constant, so the window below accepts the shuffle.
+    """
     place = "_record_key"
     if buckets is not None:
-        place = "_bucket"
-        keyed = keyed.withColumn(place, F.pmod("_record_key", buckets))
-    placed = with_record_hash(keyed.repartition(*MONTH_COLUMNS, place))
-    keys = dict.fromkeys([*MONTH_COLUMNS, place, *RECORD])
+        place = "_place"
+        keyed = keyed.withColumn(place, F.xxhash64(*MONTH_COLUMNS, F.pmod("_record_key", buckets)))
+    placed = with_record_hash(keyed.repartition(place))
+    keys = dict.fromkeys([place, *RECORD])
     order = Window.partitionBy(*keys).orderBy("source_file", "source_row_number")
     ranked = placed.withColumn("duplicate_rank", F.row_number().over(order).cast("bigint"))
-    return ranked.drop("_record_key", "_bucket")
+    return ranked.drop("_record_key", "_place")
 
 
 def _rank_in_slices(keyed: DataFrame, slice_rows: int) -> DataFrame:
