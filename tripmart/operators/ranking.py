@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,30 +51,41 @@ def with_record_hash(trips: DataFrame) -> DataFrame:
 
 
 def survey_months(trips: DataFrame, hot_group_rows: int = HOT_GROUP_ROWS) -> list[MonthSurvey]:
-    """One scan: rows per month, and every record with at least `hot_group_rows` copies.
+    """Rows per month, and every record with at least `hot_group_rows` copies in its month.
+
+    Counting reads no trip columns. Only months with enough rows to hold a hot group are looked
+    into any further.
+    """
+    counted = trips.groupBy(*MONTH_COLUMNS).agg(F.count("*").alias("rows")).collect()
+    rows = {Month(*row[:3]): row.rows for row in counted}
+    suspects = sorted(month for month, count in rows.items() if count >= hot_group_rows)
+    hot = _hot_records(trips.where(in_months(suspects)), hot_group_rows) if suspects else {}
+    return [MonthSurvey(month, rows[month], hot.get(month, ())) for month in sorted(rows)]
+
+
+def in_months(months: Iterable[Month]) -> Column:
+    listed = [F.struct(F.lit(m.service), F.lit(m.year), F.lit(m.month)) for m in months]
+    return F.struct(*MONTH_COLUMNS).isin(listed)
+
+
+def _hot_records(trips: DataFrame, hot_group_rows: int) -> dict[Month, tuple[int, ...]]:
+    """Keys of very frequent records per month, from one scan.
 
     A frequent-items sketch is built per task, merged in two steps and never holds more than
     `SKETCH_ITEMS` keys, so the driver sees a bounded list. A record the sketch cannot tell
     apart from noise has less than about 1/12000 of its month, the size of an ordinary task.
     """
+    accumulate = F.call_function("approx_top_k_accumulate", record_key(), F.lit(SKETCH_ITEMS))
     merged = (
         trips.groupBy(*MONTH_COLUMNS, (F.spark_partition_id() % SKETCH_MERGERS).alias("merger"))
-        .agg(
-            F.count("*").alias("rows"),
-            F.call_function("approx_top_k_accumulate", record_key(), F.lit(SKETCH_ITEMS)).alias("sketch"),
-        )
+        .agg(accumulate.alias("sketch"))
         .groupBy(*MONTH_COLUMNS)
-        .agg(F.sum("rows").alias("rows"), F.call_function("approx_top_k_combine", "sketch").alias("sketch"))
+        .agg(F.call_function("approx_top_k_combine", "sketch").alias("sketch"))
     )
     top = F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(SKETCH_REPORTED))
     hot = F.transform(F.filter(top, lambda t: t["count"] >= hot_group_rows), lambda t: t["item"])
-    return sorted(
-        (
-            MonthSurvey(Month(row[0], row[1], row[2]), row["rows"], tuple(sorted(row["hot"])))
-            for row in merged.select(*MONTH_COLUMNS, "rows", hot.alias("hot")).collect()
-        ),
-        key=lambda survey: survey.month,
-    )
+    found = merged.select(*MONTH_COLUMNS, hot.alias("hot")).collect()
+    return {Month(*row[:3]): tuple(sorted(row.hot)) for row in found}
 
 
 def hot_records(surveys: Sequence[MonthSurvey]) -> tuple[int, ...]:

@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,10 +16,10 @@ from tripmart.config import MONTH_COLUMNS, Month, Rules
 from tripmart.operators.checks import run_checks, standard_checks
 from tripmart.operators.classify import classify
 from tripmart.operators.profile import profile_files
-from tripmart.operators.ranking import HOT_GROUP_ROWS, MonthSurvey, hot_records, survey_months
+from tripmart.operators.ranking import HOT_GROUP_ROWS, MonthSurvey, hot_records, in_months, survey_months
 from tripmart.operators.summary import validation_summary
 from tripmart.plans.serving import readiness
-from tripmart.plans.warehouse import OUTCOMES, REJECTED, VALIDATED, Warehouse, by_partition, month_batches
+from tripmart.plans.warehouse import OUTCOMES, REJECTED, VALIDATED, Warehouse, by_partition, month_batches, side_by_side
 from tripmart.sources.summaries import write_summaries
 from tripmart.sources.trips import read_month
 from tripmart.sources.zones import read_zone_file, zone_ids, zone_table
@@ -72,7 +72,7 @@ def validate_months(
     layout = ("outcome", *MONTH_COLUMNS)
     for batch in month_batches(wanted, per_month=len(OUTCOMES)):
         present = [surveys[month] for month in batch if month in surveys]
-        rows = trips if len(batch) == len(wanted) else trips.where(_in_months(batch))
+        rows = trips if len(batch) == len(wanted) else trips.where(in_months(batch))
         classified = classify(
             rows, ids, warehouse.rules, ingested_at, hot_records(present), month_buckets(present, tasks)
         )
@@ -83,15 +83,9 @@ def validate_months(
     return wanted
 
 
-def _in_months(months: Iterable[Month]) -> Column:
-    return F.struct(*MONTH_COLUMNS).isin(
-        [F.struct(F.lit(m.service), F.lit(m.year), F.lit(m.month)) for m in months]
-    )
-
-
 def summarise_months(warehouse: Warehouse, months: Sequence[Month]) -> None:
     """Write one summary document per month from the stored, classified rows."""
-    stored = warehouse.classified().where(_in_months(months))
+    stored = warehouse.classified().where(in_months(months))
     write_summaries(validation_summary(stored), warehouse.path("summaries"))
 
 
@@ -106,11 +100,14 @@ def replace_months(
     """Bring the warehouse up to date with the given raw months and zone lookup; rerunnable."""
     warehouse.replace_zones(zone_table(zones))
     done = validate_months(trips, zone_ids(zones), warehouse, ingested_at, months, hot_group_rows)
-    for batch in month_batches(done, per_month=1):
-        warehouse.derive_months(batch)
-    warehouse.rebuild_marts()
-    summarise_months(warehouse, done)
-    loaded = warehouse.staging().where(_in_months(done)).count()
+
+    def derive() -> None:
+        for batch in month_batches(done, per_month=1):
+            warehouse.derive_months(batch)
+        warehouse.rebuild_marts()
+
+    side_by_side([derive, partial(summarise_months, warehouse, done)])
+    loaded = warehouse.staging().where(in_months(done)).count()
     return RunReport(tuple(done), loaded, warehouse.zones().count())
 
 

@@ -14,6 +14,7 @@ from pyspark.sql.utils import AnalysisException
 
 from tripmart.config import MONTH_COLUMNS, Month, Rules
 from tripmart.errors import MissingRelation
+from tripmart.operators.ranking import in_months
 from tripmart.plans import models, rollups
 from tripmart.sources.schema import CLASSIFIED_SCHEMA
 
@@ -182,8 +183,7 @@ class Warehouse:
     def derive_months(self, months: Sequence[Month]) -> None:
         """Recompute rollups and anomalies of the given months from their staged rows."""
         keys = [(m.service, m.year, m.month) for m in months]
-        wanted = F.struct(*MONTH_COLUMNS).isin([F.struct(*map(F.lit, key)) for key in keys])
-        staged = models.with_pickup_clock(models.stg_trips(self.staging().where(wanted)))
+        staged = models.with_pickup_clock(models.stg_trips(self.staging().where(in_months(months))))
         tables = {name: rollup(staged, *MONTH_COLUMNS) for name, rollup in ROLLUPS.items()}
         unusual = models.mart_anomalous_trips(staged, self.rules)
         tables[ANOMALIES] = unusual.select(*ANOMALY_BODY, *MONTH_COLUMNS)
