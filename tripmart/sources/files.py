@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,9 @@ FOOTER_SCHEMA = "path string, row_count bigint, row_groups int, column_names arr
 CHECKSUM_SCHEMA = "path string, file_size bigint, modified_at timestamp, sha256 string, row_count bigint"
 CHUNK_BYTES = 8 << 20
 
+# The readers below travel to executors with the job, which need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _open(path: str):
     uri = path if "://" in path else path.replace("file:", "", 1)
