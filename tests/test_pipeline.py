@@ -129,6 +129,17 @@ def test_marts_agree_with_direct_aggregates(load):
     )
 
 
+def test_splitting_hot_records_changes_no_row(spark, raw_trips, zone_file, tmp_path):
+    rows = [trip() for _ in range(40)] + [trip(fare_amount=float(n % 7)) for n in range(30)]
+    trips = conform(raw_trips(rows)).unionByName(conform(raw_trips(rows[:45], (2026, 2))))
+    stored = []
+    for name, threshold in (("plain", 1_000_000), ("split", 20)):
+        warehouse = Warehouse(spark, str(tmp_path / name), Rules())
+        replace_months(trips, read_zone_file(spark, zone_file), warehouse, NOW, hot_group_rows=threshold)
+        stored.append(content(warehouse.classified()))
+    assert stored[0] == stored[1] and len(stored[0]) == 115
+
+
 def test_checks_count_violations(spark, load):
     warehouse, run = load
     run((JAN, DEMO), (FEB, [trip()]))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from datetime import datetime
 from pathlib import Path
 
@@ -9,9 +10,9 @@ from conftest import RAW_SCHEMA, trip
 
 from tripmart.config import Month
 from tripmart.errors import InvalidRequest, ZoneLookupError
-from tripmart.operators.profile import profile_files
+from tripmart.operators.profile import profile_files, write_profile
 from tripmart.sources.files import append_inventory, file_inventory, parquet_footers
-from tripmart.sources.trips import read_month, write_sample
+from tripmart.sources.trips import month_files, read_month, write_sample
 from tripmart.sources.zones import read_zone_file, zone_ids, zone_table
 
 JANUARY = Month("yellow", 2026, 1)
@@ -105,3 +106,14 @@ def test_inventory_matches_files_and_is_appended(spark, write_raw, tmp_path):
     assert spark.read.parquet(str(tmp_path / "manifest")).count() == 2
     footer = parquet_footers(spark, [str(file)]).first()
     assert (footer.row_count, footer.row_groups, len(footer.column_names)) == (1, 1, 19)
+
+
+def test_profile_of_files_with_different_types(spark, write_raw, tmp_path):
+    write_raw([trip(passenger_count=1)], tmp_path / "m")
+    doubles = RAW_SCHEMA.replace("passenger_count bigint", "passenger_count double")
+    write_raw([trip(passenger_count=None)], tmp_path / "m", doubles, mode="append")
+    profile = profile_files(spark, month_files(spark, str(tmp_path / "m")))
+    assert profile["row_count"] == 2 and profile["null_counts"]["passenger_count"] == 1
+    write_profile(spark, profile, str(tmp_path / "profile"))
+    stored = json.loads(spark.read.text(str(tmp_path / "profile")).first()[0])
+    assert stored["numeric_stats"] == profile["numeric_stats"]

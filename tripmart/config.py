@@ -47,7 +47,3 @@ class Month:
     @property
     def directory(self) -> str:
         return f"service={self.service}/source_year={self.year}/source_month={self.month}"
-
-    @property
-    def artifact(self) -> str:
-        return f"validation_{self.year:04d}_{self.month:02d}_{self.service}"

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.sources.files import parquet_footers
+from tripmart.sources.trips import schema_groups
 
 # Raw columns that are counted, ranged and averaged.
 NULL_COUNTED = (
@@ -47,10 +50,9 @@ def profile_files(spark: SparkSession, paths: Sequence[str]) -> dict[str, Any]:
     """Footer facts and column statistics of one raw source, as one nested document."""
     footers = parquet_footers(spark, paths)
     rows, groups = footers.agg(F.sum("row_count"), F.sum("row_groups")).first()
-    raw = spark.read.parquet(*paths)
-    size = (
-        spark.read.format("binaryFile").load(list(paths)).agg(F.sum("length")).first()[0]
-    )
+    groups_of_files = [spark.read.parquet(*group) for group in schema_groups(spark, paths)]
+    raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups_of_files)
+    size = spark.read.format("binaryFile").load(list(paths)).agg(F.sum("length")).first()[0]
     stats = profile_columns(raw).first().asDict()
 
     def plain(value: Any) -> Any:
@@ -74,3 +76,9 @@ def profile_files(spark: SparkSession, paths: Sequence[str]) -> dict[str, Any]:
             c: {stat: stats[f"{c}_{stat}"] for stat in ("min", "max", "avg")} for c in AVERAGED if c in present
         },
     }
+
+
+def write_profile(spark: SparkSession, profile: dict[str, Any], folder: str) -> None:
+    """Store one profile as a JSON document; a rerun replaces it."""
+    document = json.dumps(profile, sort_keys=True)
+    spark.createDataFrame([(document,)], "value string").coalesce(1).write.mode("overwrite").text(folder)

@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 from tripmart.config import MONTH_COLUMNS, Month, Rules
 from tripmart.operators.checks import run_checks, standard_checks
 from tripmart.operators.classify import classify
-from tripmart.operators.profile import profile_files
+from tripmart.operators.profile import profile_files, write_profile
 from tripmart.operators.ranking import HOT_GROUP_ROWS, MonthSurvey, hot_records, in_months, survey_months
 from tripmart.operators.summary import validation_summary
 from tripmart.plans.serving import readiness
 from tripmart.plans.warehouse import OUTCOMES, REJECTED, VALIDATED, Warehouse, by_partition, month_batches, side_by_side
 from tripmart.sources.summaries import write_summaries
-from tripmart.sources.trips import read_month
+from tripmart.sources.trips import month_files, read_month
 from tripmart.sources.zones import read_zone_file, zone_ids, zone_table
 
 # Aim for this many rows per written file when one job writes several months.
@@ -124,12 +124,11 @@ class PipelineConfig:
 
 def run_pipeline(spark: SparkSession, config: PipelineConfig) -> dict[str, Any]:
     """Profile, validate, load, model and check the given months; returns a small report."""
-    profiles = {
-        month: profile_files(spark, spark.read.parquet(path).inputFiles())
-        for month, path in config.raw_paths.items()
-    }
+    profiles = {month: profile_files(spark, month_files(spark, path)) for month, path in config.raw_paths.items()}
     trips = reduce(DataFrame.unionByName, [read_month(spark, p, m) for m, p in config.raw_paths.items()])
     warehouse = Warehouse(spark, config.root, config.rules)
+    for month, profile in profiles.items():
+        write_profile(spark, profile, warehouse.path(f"profiles/raw_profile_{month.year:04d}_{month.month:02d}_{month.service}"))
     report = replace_months(
         trips, read_zone_file(spark, config.zone_path), warehouse, config.ingested_at, config.raw_paths
     )

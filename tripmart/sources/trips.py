@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,25 +27,34 @@ def with_file_lineage(raw: DataFrame, month: Month) -> DataFrame:
     )
 
 
+def schema_groups(spark: SparkSession, files: Sequence[str]) -> list[list[str]]:
+    """Files put together by equal schema; one file, the usual case, needs no look at footers."""
+    if len(files) < 2:
+        return [list(files)]
+    by_schema: dict[str, list[str]] = defaultdict(list)
+    for row in parquet_footers(spark, files).select("path", "schema").toLocalIterator():
+        by_schema[row.schema].append(row.path)
+    return [sorted(by_schema[key]) for key in sorted(by_schema)]
+
+
 def read_month(spark: SparkSession, path: str, month: Month) -> DataFrame:
     """Typed trips of one month.
 
     Source files of a month may differ in column types, so files are read per distinct schema
-    and united after conforming. One file, the usual case, is read directly.
+    and united after conforming.
     """
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-    files = reader.format("parquet").load(path).inputFiles()
-    if len(files) == 1:
-        groups = [files]
-    else:
-        by_schema: dict[str, list[str]] = defaultdict(list)
-        for row in parquet_footers(spark, files).select("path", "schema").toLocalIterator():
-            by_schema[row.schema].append(row.path)
-        groups = [sorted(by_schema[key]) for key in sorted(by_schema)]
-    parts = [conform(with_file_lineage(spark.read.parquet(*group), month)) for group in groups]
+    files = month_files(spark, path)
+    parts = [
+        conform(with_file_lineage(spark.read.parquet(*group), month)) for group in schema_groups(spark, files)
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def month_files(spark: SparkSession, path: str) -> list[str]:
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return reader.parquet(path).inputFiles()
+
+
 def first_rows(frame: DataFrame, count: int, *order: str) -> DataFrame:
     """The first rows in a stated order; a top-k, never a full sort."""
     if count <= 0:
