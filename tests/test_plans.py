@@ -83,3 +83,17 @@ def test_month_filter_prunes_partitions(spark):
 def test_served_queries_have_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "NestedLoop" not in text and "EvalPython" not in text
+
+
+@pytest.mark.parametrize("name", ["dq_relationships", "revenue_labeled", "dim_rate_code"])
+def test_dimension_joins_do_not_shuffle_trips(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_hot_records_are_joined_by_broadcast_and_sliced(spark):
+    trips, ids = conform(driver_trips(spark, SF_DIR)), zone_ids(driver_zone_lookup(spark, SF_DIR))
+    text = plan(classify(trips, ids, DRIVER_RULES, DRIVER_INGESTED_AT, hot=(1, 2, 3)))
+    for kind in ("LeftAnti", "LeftSemi"):
+        assert re.search(rf"BroadcastHashJoin \[_record_key#\w+\], \[_record_key#\w+\], {kind}", text)
+    assert "_slice" in text and "CartesianProduct" not in text and "NestedLoop" not in text

@@ -107,9 +107,13 @@ def rank_copies(
     keyed = trips.withColumn("_record_key", record_key())
     if not hot:
         return _rank_together(keyed, buckets)
-    is_hot = F.col("_record_key").isin(list(hot))
-    usual = _rank_together(keyed.where(~is_hot), buckets)
-    return usual.unionByName(_rank_in_slices(keyed.where(is_hot), slice_rows))
+    # At most SKETCH_REPORTED keys per month. A join, because a filter on a hash of all columns makes
+    # the optimizer derive a constraint for every combination of their aliases.
+    listed = trips.sparkSession.range(1).select(F.explode(F.lit(list(hot))).alias("_record_key"))
+    hot_keys = F.broadcast(listed)
+    usual = _rank_together(keyed.join(hot_keys, "_record_key", "left_anti"), buckets)
+    split = _rank_in_slices(keyed.join(hot_keys, "_record_key", "left_semi"), slice_rows)
+    return usual.unionByName(split)
 
 
 def _rank_together(keyed: DataFrame, buckets: Column | None) -> DataFrame:

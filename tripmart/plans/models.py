@@ -132,12 +132,18 @@ def dim_hour(spark: SparkSession) -> DataFrame:
     )
 
 
+def _labels(spark: SparkSession, rows: list[tuple[int, str]], code: str, label: str) -> DataFrame:
+    """A literal relation whose small size the optimizer knows."""
+    members = [F.struct(F.lit(number).alias(code), F.lit(text).alias(label)) for number, text in rows]
+    return spark.range(1).select(F.inline(F.array(*members)))
+
+
 def dim_payment_type(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PAYMENT_TYPES, "payment_type int, payment_type_name string")
+    return _labels(spark, PAYMENT_TYPES, "payment_type", "payment_type_name")
 
 
 def dim_rate_code(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RATE_CODES, "rate_code_id int, rate_code_name string")
+    return _labels(spark, RATE_CODES, "rate_code_id", "rate_code_name")
 
 
 def mart_anomalous_trips(fact: DataFrame, rules: Rules) -> DataFrame:
