@@ -109,7 +109,7 @@ def rank_copies(
         return _rank_together(keyed, buckets)
     # At most SKETCH_REPORTED keys per month. A join, because a filter on a hash of all columns makes
     # the optimizer derive a constraint for every combination of their aliases.
-    listed = trips.sparkSession.range(1).select(F.explode(F.lit(list(hot))).alias("_record_key"))
+    listed = trips.sparkSession.range(1).select(F.explode(F.lit(list(hot)).cast("array<bigint>")).alias("_record_key"))
     hot_keys = F.broadcast(listed)
     usual = _rank_together(keyed.join(hot_keys, "_record_key", "left_anti"), buckets)
     split = _rank_in_slices(keyed.join(hot_keys, "_record_key", "left_semi"), slice_rows)
