@@ -4,13 +4,13 @@ LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefgh
 
 
 def words_of(text: str) -> str:
-    return f"list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"
+    return f"list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
 
 NEAR_DEDUP = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {words_of(LOWERED)} AS ws FROM documents),
 s AS (SELECT doc_id, unnest(CASE WHEN len(ws) >= 2
-        THEN list_distinct(list_transform(range(1, len(ws)), i -> ws[i] || ' ' || ws[i + 1])) ELSE ws END) AS g FROM w),
+        THEN list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) ELSE ws END) AS g FROM w),
 n AS (SELECT doc_id, count(g) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY doc_id),
 common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
 link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
@@ -20,6 +20,21 @@ SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(r.b) AS component_id, mi
 FROM n JOIN reach r ON r.a = n.doc_id GROUP BY n.doc_id, n.n
 """
 
+LINE_DEDUP = """
+WITH lines AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents),
+site AS (SELECT source, count(*) AS total FROM documents GROUP BY source),
+often AS (SELECT source, line FROM lines JOIN site USING (source) WHERE regexp_matches(line, '[^ \\x09-\\x0D]')
+          GROUP BY source, line, total HAVING count(DISTINCT doc_id) >= 3 AND 100 * count(DISTINCT doc_id) > 10 * total),
+site_lines AS (SELECT source, list(line) AS lines FROM often GROUP BY source)
+SELECT d.doc_id, d.source,
+       CASE WHEN s.lines IS NULL OR d.text IS NULL THEN d.text
+            ELSE array_to_string(list_filter(string_split(d.text, chr(10)), lambda x: NOT list_contains(s.lines, x)), chr(10)) END AS text,
+       CASE WHEN s.lines IS NULL OR d.text IS NULL THEN 0
+            ELSE len(list_filter(string_split(d.text, chr(10)), lambda x: list_contains(s.lines, x))) END AS lines_dropped
+FROM documents d LEFT JOIN site_lines s USING (source)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_minhash_near_dedup": NEAR_DEDUP,
+    "op9_line_dedup": LINE_DEDUP,
 }

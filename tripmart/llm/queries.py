@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripmart.llm.line_dedup import LineDedup, drop_boilerplate
 from tripmart.llm.near_dedup import NearDedup, near_duplicates
+from tripmart.llm.quality_rules import QualityRules, quality_verdicts
 from tripmart.llm.tables import table
 
 
@@ -14,6 +16,17 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), NearDedup(shingle_words=2))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), QualityRules())
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = drop_boilerplate(table(spark, sf_dir, "documents"), LineDedup())
+    return cleaned.select("doc_id", "source", "text", "lines_dropped")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_line_dedup": op9_line_dedup,
 }
