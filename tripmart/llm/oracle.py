@@ -34,7 +34,17 @@ SELECT d.doc_id, d.source,
 FROM documents d LEFT JOIN site_lines s USING (source)
 """
 
+WARC = """
+WITH payload AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+first AS (SELECT payload_digest, min(page_id) AS page_id FROM payload WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN f.page_id <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.page_id <> p.page_id THEN f.page_id END AS refers_to
+FROM payload p LEFT JOIN first f USING (payload_digest)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_minhash_near_dedup": NEAR_DEDUP,
     "op9_line_dedup": LINE_DEDUP,
+    "op10_warc": WARC,
 }

@@ -6,16 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripmart.llm.bpe import token_digests
 from tripmart.llm.line_dedup import LineDedup, drop_boilerplate
 from tripmart.llm.near_dedup import NearDedup, near_duplicates
 from tripmart.llm.quality_rules import QualityRules, quality_verdicts
 from tripmart.llm.tables import table
+from tripmart.llm.warc import WarcFormat, round_trip
+
+
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), NearDedup(shingle_words=2))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), QualityRules())
 
@@ -25,8 +38,14 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "source", "text", "lines_dropped")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"), WarcFormat())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op7_bpe": op7_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
+    "op10_warc": op10_warc,
 }
