@@ -35,7 +35,7 @@ class NearDedup:
     percent: int = 80
     chunks: int = 10
     chunk_symbols: int = 5
-    members_per_task: int = 2000
+    members_per_task: int = 256
 
     @property
     def symbols(self) -> int:
@@ -107,6 +107,20 @@ def key_rows(params: NearDedup):
     return rows
 
 
+def shingle_rows(params: NearDedup):
+    """Arrow batches of (rep, text) to (rep, shingle), one row for each distinct shingle."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, data, offsets in slices(batch.column(1)):
+                words = Words(data, offsets)
+                values, at = shingle_sets(words, words.hashes(lower=True), params.shingle_words)
+                rep = np.repeat(batch.column(0).slice(first, last - first).to_numpy(zero_copy_only=False), np.diff(at))
+                yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(values.view(np.int64))], ["rep", "shingle"])
+
+    return rows
+
+
 def confirm_rows(params: NearDedup):
     """Sorted rows (center, salt, member, text) to the links (a, b); the center's own row comes first in its run."""
 
@@ -147,15 +161,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame, params: NearDedup) -> DataFram
     pairs = stored(pairs, "pairs")
     sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / params.members_per_task).cast("int").alias("runs"))
     sizes = stored(sizes, "runs")
-    many = F.broadcast(stored(sizes.where("runs > 1"), "split")) if not sizes.where("runs > 1").isEmpty() else None
-    # At most pairs / members_per_task centers are split; the table is joined without a hint where it is large.
-    members = pairs
-    if many is not None:
-        members = members.join(many.hint("merge") if many.count() > 100_000 else many, "b", "left")
-        members = members.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("a"), F.col("runs")), F.lit(0)).cast("int"))
-    else:
-        members = members.withColumn("salt", F.lit(0))
-    members = members.select(F.col("b").alias("center"), "salt", F.col("a").alias("member"))
+    members = pairs.join(sizes.where("runs > 1"), "b", "left")
+    salt = F.coalesce(F.pmod(F.xxhash64("a"), F.col("runs")), F.lit(0)).cast("int").alias("salt")
+    members = members.select(F.col("b").alias("center"), salt, F.col("a").alias("member"))
     centers = sizes.select(F.col("b").alias("center"), F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("salt"), F.col("b").alias("member"))
     rows = members.unionByName(centers).join(texts.select(F.col("rep").alias("member"), "text"), "member")
     rows = rows.select("center", "salt", "member", "text", (F.col("member") != F.col("center")).alias("later"))
@@ -199,10 +207,7 @@ def near_duplicates(docs: DataFrame, params: NearDedup = NearDedup(), id_col: st
     rooted = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
     mixed = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("key")
     rooted = stored(rooted.join(mixed, "key", "left_semi"), "mixed")
-    left = rooted.select("key", F.col("rep").alias("a"), F.col("root").alias("left"))
-    right = rooted.select("key", F.col("rep").alias("b"), F.col("root").alias("right"))
-    rest = left.join(right, "key").where("left != right and a > b").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-    rest = stored(rest, "tested")
+    rest = stored(_possible(rooted, texts, params).join(tested, ["a", "b"], "left_anti"), "tested")
     if not rest.isEmpty():
         links = stored(links.unionByName(confirmed(rest, texts, params)), "links")
         roots = components(links)
@@ -214,6 +219,27 @@ def near_duplicates(docs: DataFrame, params: NearDedup = NearDedup(), id_col: st
     return labelled.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def _possible(rooted: DataFrame, texts: DataFrame, params: NearDedup) -> DataFrame:
+    """Pairs (a, b) of different components that share a bucket and whose sets could be similar enough.
+
+    A shingle that only one of these documents has is in no intersection. With n shingles, u of them such, two
+    documents share at most min(n - u, m - v) of them, which rules out most pairs of a large group without comparing them.
+    """
+    own = rooted.select("rep").distinct()
+    shingles = texts.join(own, "rep").select("rep", "text").mapInArrow(shingle_rows(params), "rep long, shingle long")
+    single = shingles.groupBy("shingle").agg(F.min("rep").alias("rep"), F.count("*").alias("docs"))
+    sizes = single.where("docs = 1").groupBy("rep").agg(F.count("*").alias("alone"))
+    counts = shingles.groupBy("rep").agg(F.count("*").alias("n")).join(sizes, "rep", "left")
+    shared = F.col("n") - F.coalesce("alone", F.lit(0))
+    able = stored(counts.select("rep", "n", shared.alias("shared")).where(f"100 * shared >= {params.percent} * n"), "able")
+    rows = stored(rooted.join(able, "rep"), "able_members")
+    left = rows.select("key", F.col("rep").alias("a"), F.col("root").alias("left"), F.col("n").alias("n_a"), F.col("shared").alias("shared_a"))
+    right = rows.select("key", F.col("rep").alias("b"), F.col("root").alias("right"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b"))
+    close = f"100 * least(shared_a, shared_b) >= {params.percent} * (n_a + n_b - least(shared_a, shared_b))"
+    pairs = left.join(right, "key").where(f"left != right and a > b and {close}").select("a", "b")
+    return stored(pairs.distinct(), "possible")
+
+
 def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs whose ends are in different components."""
     left = roots.select(F.col("node").alias("a"), F.col("root").alias("left"))
