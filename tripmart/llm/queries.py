@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmart.llm.bpe import token_digests
+from tripmart.llm.decontaminate import Decontaminate, leaks
+from tripmart.llm.language import LanguageId, identify, learn
 from tripmart.llm.line_dedup import LineDedup, drop_boilerplate
 from tripmart.llm.near_dedup import NearDedup, near_duplicates
 from tripmart.llm.quality_rules import QualityRules, quality_verdicts
-from tripmart.llm.tables import table
+from tripmart.llm.tables import held_out, table
 from tripmart.llm.warc import WarcFormat, round_trip
 
 
@@ -21,10 +24,22 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that it contains; other documents have none."""
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Decontaminate())
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), NearDedup(shingle_words=2))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = learn(docs.where(~held_out("doc_id", 4, 2)), LanguageId())
+    found = identify(docs, model)
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -43,7 +58,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_language_id": op4_language_id,
     "op7_bpe": op7_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,

@@ -70,14 +70,14 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int,
 class Words:
     """Begin and end of each word in the bytes, its row, and the first word of each row (rows + 1 numbers)."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        self.data, self.offsets = data, offsets
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE):
+        self.data, self.offsets, self.separators = data, offsets, separators
         rows = len(offsets) - 1
         if not len(data):
             self.begin = self.end = self.row = np.zeros(0, np.int64)
             self.first = np.zeros(rows + 1, np.int64)
             return
-        word = ~SPACE[data]
+        word = ~separators[data]
         cut = np.zeros(len(data) + 1, bool)
         cut[offsets] = True
         starts, ends = word.copy(), word.copy()
@@ -93,7 +93,7 @@ class Words:
         if not len(self.begin):
             return np.zeros(0, np.uint64)
         power, inverse = _power_tables(len(self.data))
-        values = _VALUES[lower][self.data]
+        values = np.where(self.separators, np.uint64(0), _VALUES[lower])[self.data]
         values *= power[: len(self.data)]
         return mix(np.add.reduceat(values, self.begin) * inverse[self.begin])
 
