@@ -13,6 +13,7 @@ from tripmart.llm.language import LanguageId, identify, learn
 from tripmart.llm.line_dedup import LineDedup, drop_boilerplate
 from tripmart.llm.near_dedup import NearDedup, near_duplicates
 from tripmart.llm.quality_rules import QualityRules, quality_verdicts
+from tripmart.llm.site_style import SiteStyle, extract_main_text
 from tripmart.llm.tables import held_out, table
 from tripmart.llm.warc import WarcFormat, round_trip
 
@@ -40,6 +41,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_main_text(table(spark, sf_dir, "pages"), SiteStyle())
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_language_id": op4_language_id,
+    "op5_html_extraction": op5_html_extraction,
     "op7_bpe": op7_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
