@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.llm import toxicity
 from tripmart.llm.bpe import token_digests
 from tripmart.llm.decontaminate import Decontaminate, leaks
 from tripmart.llm.language import LanguageId, identify, learn
@@ -25,6 +26,12 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, aside = table(spark, sf_dir, "documents"), held_out("doc_id", 5, 0)
+    model = toxicity.learn(docs.where(~aside), table(spark, sf_dir, "labels").where(~aside), toxicity.Toxicity())
+    return toxicity.score(docs, model).select("doc_id", aside.alias("held_out"), "score", toxicity.predicted())
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document and benchmark item that it contains; other documents have none."""
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Decontaminate())
@@ -64,6 +71,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_language_id": op4_language_id,
