@@ -29,6 +29,9 @@ from tripmart.llm.tables import stored
 from tripmart.llm.textops import Words, mix, shingle_sets, slices
 
 
+BITMAP_WORDS = 16
+
+
 @dataclass(frozen=True)
 class NearDedup:
     shingle_words: int = 5
@@ -121,6 +124,29 @@ def shingle_rows(params: NearDedup):
     return rows
 
 
+def bitmap_rows(params: NearDedup):
+    """(rep, text, alone) to (rep, n, shared, b0, ...): set size, size without the shingles in `alone`, and a bitmap of those."""
+    bits = np.uint64(64 * BITMAP_WORDS)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, data, offsets in slices(batch.column(1)):
+                words = Words(data, offsets)
+                values, at = shingle_sets(words, words.hashes(lower=True), params.shingle_words)
+                row = np.repeat(np.arange(last - first), np.diff(at))
+                lists = batch.column(2).slice(first, last - first)
+                alone = np.array([x for own in lists.to_pylist() for x in own or ()], np.int64).view(np.uint64)
+                held = ~np.isin(values, alone)
+                bitmap = np.zeros((last - first, int(bits)), bool)
+                bitmap[row[held], (mix(values[held]) % bits).astype(np.int64)] = True
+                packed = np.packbits(bitmap, axis=1, bitorder="little").view(np.int64)
+                columns = [np.diff(at), np.bincount(row[held], minlength=last - first), *packed.T]
+                names = ["rep", "n", "shared", *(f"b{k}" for k in range(BITMAP_WORDS))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), *(pa.array(np.ascontiguousarray(x).astype(np.int64)) for x in columns)], names)
+
+    return rows
+
+
 def confirm_rows(params: NearDedup):
     """Sorted rows (center, salt, member, text) to the links (a, b); the center's own row comes first in its run."""
 
@@ -222,22 +248,24 @@ def near_duplicates(docs: DataFrame, params: NearDedup = NearDedup(), id_col: st
 def _possible(rooted: DataFrame, texts: DataFrame, params: NearDedup) -> DataFrame:
     """Pairs (a, b) of different components that share a bucket and whose sets could be similar enough.
 
-    A shingle that only one of these documents has is in no intersection. With n shingles, u of them such, two
-    documents share at most min(n - u, m - v) of them, which rules out most pairs of a large group without comparing them.
+    A shingle that only one of these documents has is in no intersection, and neither is one whose bit is not set in the
+    other's bitmap. Both bound the intersection from above, which rules out most pairs of a large group without comparing them; no pair
+    that links is ruled out.
     """
-    own = rooted.select("rep").distinct()
-    shingles = texts.join(own, "rep").select("rep", "text").mapInArrow(shingle_rows(params), "rep long, shingle long")
-    single = shingles.groupBy("shingle").agg(F.min("rep").alias("rep"), F.count("*").alias("docs"))
-    sizes = single.where("docs = 1").groupBy("rep").agg(F.count("*").alias("alone"))
-    counts = shingles.groupBy("rep").agg(F.count("*").alias("n")).join(sizes, "rep", "left")
-    shared = F.col("n") - F.coalesce("alone", F.lit(0))
-    able = stored(counts.select("rep", "n", shared.alias("shared")).where(f"100 * shared >= {params.percent} * n"), "able")
-    rows = stored(rooted.join(able, "rep"), "able_members")
-    left = rows.select("key", F.col("rep").alias("a"), F.col("root").alias("left"), F.col("n").alias("n_a"), F.col("shared").alias("shared_a"))
-    right = rows.select("key", F.col("rep").alias("b"), F.col("root").alias("right"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b"))
-    close = f"100 * least(shared_a, shared_b) >= {params.percent} * (n_a + n_b - least(shared_a, shared_b))"
-    pairs = left.join(right, "key").where(f"left != right and a > b and {close}").select("a", "b")
-    return stored(pairs.distinct(), "possible")
+    own = texts.join(rooted.select("rep").distinct(), "rep")
+    shingles = own.select("rep", "text").mapInArrow(shingle_rows(params), "rep long, shingle long")
+    single = shingles.groupBy("shingle").agg(F.min("rep").alias("rep"), F.count("*").alias("docs")).where("docs = 1")
+    alone = single.groupBy("rep").agg(F.collect_list("shingle").alias("alone"))
+    words = ", ".join(f"b{k} long" for k in range(BITMAP_WORDS))
+    described = own.select("rep", "text").join(alone, "rep", "left").select("rep", "text", "alone")
+    able = described.mapInArrow(bitmap_rows(params), f"rep long, n long, shared long, {words}").where(f"100 * shared >= {params.percent} * n")
+    rows = stored(rooted.join(able, "rep"), "able")
+    sides = [rows.select("key", *(F.col(name).alias(f"{side}_{name}") for name in rows.columns if name != "key")) for side in "xy"]
+    missing = [" + ".join(f"bit_count({one}_b{k} & ~{other}_b{k})" for k in range(BITMAP_WORDS)) for one, other in ("xy", "yx")]
+    most = f"least(x_shared - ({missing[0]}), y_shared - ({missing[1]}))"
+    close = f"100 * {most} >= {params.percent} * (x_n + y_n - {most})"
+    pairs = sides[0].join(sides[1], "key").where(f"x_root != y_root and x_rep > y_rep and {close}")
+    return stored(pairs.select(F.col("x_rep").alias("a"), F.col("y_rep").alias("b")).distinct(), "possible")
 
 
 def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
