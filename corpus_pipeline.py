@@ -1,19 +1,57 @@
-"""Corpus pipeline: filter, clean, deduplicate, decontaminate and tokenize `documents`."""
+"""Corpus pipeline over `documents`: filter, clean, deduplicate, decontaminate and tokenize.
+
+Every stage takes the documents that the one before kept, written and read again. All but the last return the columns of
+documents; the last returns token digests. Rows without doc_id pass the filters, since no verdict can be tied to them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripmart.llm.bpe import token_digests
+from tripmart.llm.decontaminate import Decontaminate, without_leaks
+from tripmart.llm.line_dedup import LineDedup, drop_boilerplate
 from tripmart.llm.near_dedup import NearDedup, keep_first
+from tripmart.llm.quality_rules import QualityRules, keep_good
+from tripmart.llm.queries import vocabulary_path
 from tripmart.llm.tables import stored, table
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the isolation forest keep."""
+    return keep_good(docs, table(spark, sf_dir, "labels"), QualityRules())
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that are boilerplate of their source."""
+    cleaned = drop_boilerplate(docs, LineDedup())
+    return cleaned.select(*docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five-word shingles, similarity of 0.8 or more."""
     return keep_first(docs, NearDedup())
 
 
-STAGES = [("minhash_near_dedup", near_dedup)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"), Decontaminate())
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each remaining document."""
+    return token_digests(docs, vocabulary_path())
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("minhash_near_dedup", near_dedup),
+    ("benchmark_decontamination", decontaminate),
+    ("bpe", tokenize),
+]
 
+# The isolation forest and the tokenizer have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import toxicity
+from tripmart.llm import quality_knn, toxicity
 from tripmart.llm.bpe import token_digests
 from tripmart.llm.decontaminate import Decontaminate, leaks
 from tripmart.llm.language import LanguageId, identify, learn
@@ -53,6 +53,12 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, aside = table(spark, sf_dir, "documents"), held_out("doc_id", 3, 1)
+    model = quality_knn.learn(docs.where(~aside), table(spark, sf_dir, "labels").where(~aside), quality_knn.QualityKnn())
+    return quality_knn.score(docs, model).select("doc_id", aside.alias("held_out"), "score", quality_knn.predicted())
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -76,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_language_id": op4_language_id,
     "op5_html_extraction": op5_html_extraction,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_bpe": op7_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
