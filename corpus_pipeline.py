@@ -7,6 +7,7 @@ documents; the last returns token digests. Rows without doc_id pass the filters,
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmart.llm.bpe import token_digests
 from tripmart.llm.decontaminate import Decontaminate, without_leaks
@@ -23,8 +24,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that are boilerplate of their source."""
+    """All documents, without the lines that are boilerplate of their source; n_chars of changed texts is counted anew."""
     cleaned = drop_boilerplate(docs, LineDedup())
+    cleaned = cleaned.withColumn("n_chars", F.when(F.col("lines_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return cleaned.select(*docs.columns)
 
 
