@@ -49,16 +49,17 @@ def drop_boilerplate(docs: DataFrame, params: LineDedup = LineDedup(), host_col:
 
     A line is dropped where it stands on at least `min_pages` pages of its site and on more than `ratio_percent` of
     them; a page counts once however often it repeats the line, and each row is a page. Lines without a word are
-    never dropped. Null text stays null, a page without a site keeps its lines, and an empty table gives no rows.
+    never dropped. Null text stays null, a page without a site keeps its lines, and an empty table gives no rows. A column
+    `lines_dropped` of docs is replaced.
     """
-    frequent = stored(boilerplate_lines(docs, params, host_col, text_col), "boilerplate")
+    frequent = stored(boilerplate_lines(docs, params, host_col, text_col), "boilerplate").withColumnsRenamed({"site": "__site", "keys": "__keys"})
     # Columns travel in one struct, so no name of docs can clash with the names used here.
-    rows = docs.select(F.struct("*").alias("row"), F.col(host_col).alias("site"))
-    rows = rows.join(frequent, "site", "left")
-    text = F.col("row").getField(text_col)
+    rows = docs.select(F.struct("*").alias("__row"), F.col(host_col).alias("__site"))
+    rows = rows.join(frequent, "__site", "left")
+    text = F.col("__row").getField(text_col)
     lines = F.split(text, "\n")
-    held = F.filter(lines, lambda line: ~(line.rlike(WORD) & F.array_contains(F.col("keys"), _line_key(line))))
-    cleaned = F.when(F.col("keys").isNull() | text.isNull(), text).otherwise(F.array_join(held, "\n"))
-    dropped = F.when(F.col("keys").isNull() | text.isNull(), 0).otherwise(F.size(lines) - F.size(held)).cast("long")
-    columns = [cleaned.alias(name) if name == text_col else F.col("row").getField(name).alias(name) for name in docs.columns]
+    held = F.filter(lines, lambda line: ~(line.rlike(WORD) & F.array_contains(F.col("__keys"), _line_key(line))))
+    cleaned = F.when(F.col("__keys").isNull() | text.isNull(), text).otherwise(F.array_join(held, "\n"))
+    dropped = F.when(F.col("__keys").isNull() | text.isNull(), 0).otherwise(F.size(lines) - F.size(held)).cast("long")
+    columns = [cleaned.alias(name) if name == text_col else F.col("__row").getField(name).alias(name) for name in docs.columns if name != "lines_dropped"]
     return rows.select(*columns, dropped.alias("lines_dropped"))
