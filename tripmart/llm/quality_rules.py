@@ -19,25 +19,15 @@ from tripmart.llm.tables import bounded_rows, stored
 from tripmart.llm.textops import SPACE, Words, mix, slices, windows
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-RULES = (
-    "word_length",
-    "symbols_per_word",
-    "duplicate_line_share",
-    "repeated_word_share",
-    "upper_share",
-    "digit_share",
-    "marks_per_word",
-    "bare_word_share",
-)
+RULES = ("word_length", "symbols_per_word", "bare_word_share", "duplicate_line_share", "repeated_word_share", "upper_share")
 WINDOW = 8
 
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
-_UPPER, _LOWER, _DIGIT, _MARK = (np.zeros(256, bool) for _ in range(4))
+_UPPER, _LOWER, _DIGIT = (np.zeros(256, bool) for _ in range(3))
 _UPPER[65:91] = True
 _LOWER[97:123] = True
 _DIGIT[48:58] = True
-_MARK[list(b".,!?;:")] = True
 _LINE_VALUES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
 _LINE_VALUES[10] = 0
 SCORE_BINS = 1000
@@ -49,7 +39,7 @@ class QualityRules:
     most_repeated_percent: int = 30
     trees: int = 100
     sample_rows: int = 256
-    most_good_rejected: float = 0.01
+    most_good_rejected: float = 0.005
     seed: int = 5
 
 
@@ -83,7 +73,7 @@ def count_rows(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     rows = len(offsets) - 1
     if not len(data):
         zero = np.zeros(rows, np.int64)
-        return {name: zero for name in (*COUNTS, "lines", "upper", "lower", "digits", "marks", "bare")}
+        return {name: zero for name in (*COUNTS, "lines", "upper", "lower", "bare")}
     words = Words(data, offsets)
     inside = ~SPACE[data]
     lead = (data & 0xC0) != 0x80
@@ -93,8 +83,6 @@ def count_rows(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         "n_symbols": _per_row(_SYMBOLS[data], offsets),
         "upper": _per_row(_UPPER[data], offsets),
         "lower": _per_row(_LOWER[data], offsets),
-        "digits": _per_row(_DIGIT[data], offsets),
-        "marks": _per_row(_MARK[data], offsets),
     }
     row, value = _line_hashes(data, offsets)
     order = np.lexsort((value, row))
@@ -126,19 +114,20 @@ def count_rows(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def rule_values(found: dict[str, np.ndarray]) -> np.ndarray:
-    """One row of RULES for each text; texts without words have zeros."""
-    words = np.maximum(found["n_words"], 1)
-    letters = np.maximum(found["upper"] + found["lower"], 1)
+    """One row of RULES for each text."""
+
+    def drawn(part: str, whole: np.ndarray, usual: float, weight: float) -> np.ndarray:
+        """A ratio drawn to its usual value as by `weight` more units, so that short texts are not odd by chance."""
+        return (found[part] + weight * usual) / (whole + weight)
+
     return np.stack(
         [
-            found["word_chars"] / words,
-            found["n_symbols"] / words,
-            found["n_dup_lines"] / np.maximum(found["lines"], 1),
-            found["n_repeat_words"] / words,
-            found["upper"] / letters,
-            found["digits"] / np.maximum(found["word_chars"], 1),
-            found["marks"] / words,
-            found["bare"] / words,
+            drawn("word_chars", found["n_words"], 6.0, 20),
+            drawn("n_symbols", found["n_words"], 0.0, 20),
+            drawn("bare", found["n_words"], 0.0, 20),
+            drawn("n_dup_lines", found["lines"], 0.0, 3),
+            drawn("n_repeat_words", found["n_words"], 0.0, 20),
+            drawn("upper", found["upper"] + found["lower"], 0.03, 100),
         ],
         axis=1,
     )
@@ -242,9 +231,9 @@ def quality_verdicts(
     """
     spark = docs.sparkSession
     found = stored(statistics(docs, id_col, text_col), "statistics")
+    base_failed = (F.col("n_words") < params.min_words) | (100 * F.col("n_repeat_words") > params.most_repeated_percent * F.col("n_words"))
     sample = bounded_rows(found.where("doc_id is not null"), "doc_id", params.trees * params.sample_rows).select(*RULES)
     rows = np.array([tuple(row) for row in sample.collect()], float).reshape(-1, len(RULES))
-    base_failed = (F.col("n_words") < params.min_words) | (100 * F.col("n_repeat_words") > params.most_repeated_percent * F.col("n_words"))
     if len(rows) < 2:
         return found.select("doc_id", *COUNTS, base_failed.alias("base_failed"), (~base_failed).alias("kept"), F.lit(0.0).alias("anomaly"))
     forest = spark.sparkContext.broadcast(Forest(rows, params))
@@ -258,7 +247,7 @@ def quality_verdicts(
     schema = ", ".join(["doc_id long", *(f"{name} long" for name in COUNTS), "anomaly double"])
     scored = stored(found.mapInArrow(score_rows, schema), "anomaly")
     known = labels.where("quality is not null and doc_id is not null").select("doc_id", "quality")
-    bins = scored.join(known, "doc_id").groupBy(F.floor(F.col("anomaly") * SCORE_BINS).cast("int").alias("score"), (F.col("quality") > 0).cast("int").alias("quality")).count()
+    bins = scored.where(~base_failed).join(known, "doc_id").groupBy(F.floor(F.col("anomaly") * SCORE_BINS).cast("int").alias("score"), (F.col("quality") > 0).cast("int").alias("quality")).count()
     threshold = calibrated({(row["score"], row["quality"]): row["count"] for row in bins.collect()}, params.most_good_rejected)
     kept = ~base_failed & (F.floor(F.col("anomaly") * SCORE_BINS) < round(threshold * SCORE_BINS))
     return scored.select("doc_id", *COUNTS, base_failed.alias("base_failed"), kept.alias("kept"), "anomaly")
