@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.components import components
-from tripmart.llm.tables import stored
+from tripmart.llm.tables import settled, stored
 from tripmart.llm.textops import Words, mix, shingle_sets, slices
 
 
@@ -278,5 +278,5 @@ def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame, params: NearDedup = NearDedup()) -> DataFrame:
     """The documents without those that link to a smaller doc_id; columns as they were."""
-    dropped = stored(near_duplicates(docs, params).where("not kept").select("doc_id").distinct(), "dropped")
+    dropped = settled(docs.sparkSession, lambda: near_duplicates(docs, params).where("not kept").select("doc_id").distinct(), "dropped")
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

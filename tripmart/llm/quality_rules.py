@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.tables import bounded_rows, stored
+from tripmart.llm.tables import bounded_rows, settled, stored
 from tripmart.llm.textops import SPACE, Words, mix, slices, windows
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -255,5 +255,6 @@ def quality_verdicts(
 
 def keep_good(docs: DataFrame, labels: DataFrame, params: QualityRules = QualityRules()) -> DataFrame:
     """The documents that are not rejected; columns as they were. Rows without id stay."""
-    rejected = stored(quality_verdicts(docs, labels, params).where("not kept and doc_id is not null").select("doc_id").distinct(), "rejected")
+    found = lambda: quality_verdicts(docs, labels, params).where("not kept and doc_id is not null").select("doc_id").distinct()
+    rejected = settled(docs.sparkSession, found, "rejected")
     return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,14 +20,36 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+# Folders written since `settled` began, innermost call only.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame once to the shared folder and read it back; lost executors then recompute nothing before it."""
     spark = frame.sparkSession
     folder = new_folder(spark, name)
+    written = _written.get()
+    if written is not None:
+        written.append(folder)
     frame.write.parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def settled(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What `build` returns, stored; the tables written on the way are removed once it is complete."""
+    written: list[str] = []
+    token = _written.set(written)
+    try:
+        frame = build()
+    finally:
+        _written.reset(token)
+    result = stored(frame, name)
+    for folder in written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return result
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
