@@ -1,11 +1,11 @@
 from __future__ import annotations
 
 import math
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import duckdb
 import pytest
-from conftest import START, trip
+from conftest import START, ZONE_IDS, trip
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -19,63 +19,85 @@ from tripmart.operators.ranking import hot_records, rank_copies, survey_months
 from tripmart.operators.summary import rule_counts, status_counts, validation_summary
 from tripmart.sources.schema import CLASSIFIED_SCHEMA, conform
 
-NOW = datetime(2026, 1, 3, 10)
+NOW = datetime(2026, 4, 6, 7, 30)
 
 
 @pytest.fixture
 def classified(spark, raw_trips):
-    ids = spark.createDataFrame([(1,), (2,), (132,), (138,)], "zone_id int")
+    ids = spark.createDataFrame([(zone,) for zone in ZONE_IDS], "zone_id int")
     return lambda rows: classify(conform(raw_trips(rows)), ids, Rules(), NOW)
 
 
-@pytest.mark.parametrize(
-    ("changes", "reason"),
-    [
-        ({"tpep_pickup_datetime": None}, "missing_pickup_datetime"),
-        ({"tpep_dropoff_datetime": None}, "missing_dropoff_datetime"),
-        ({"tpep_dropoff_datetime": START - timedelta(minutes=1)}, "pickup_after_dropoff"),
-        ({"tpep_dropoff_datetime": START + timedelta(hours=25)}, "duration_out_of_range"),
-        ({"trip_distance": None}, "missing_trip_distance"),
-        ({"trip_distance": -1.0}, "negative_trip_distance"),
-        ({"fare_amount": None}, "missing_fare_amount"),
-        ({"fare_amount": -1.0}, "negative_fare_amount"),
-        ({"total_amount": None}, "missing_total_amount"),
-        ({"total_amount": -1.0}, "negative_total_amount"),
-        ({"passenger_count": -1}, "negative_passenger_count"),
-        ({"PULocationID": 999}, "invalid_pickup_zone"),
-        ({"PULocationID": None}, "invalid_pickup_zone"),
-        ({"DOLocationID": 999}, "invalid_dropoff_zone"),
-        ({"DOLocationID": None}, "invalid_dropoff_zone"),
-        (
-            {"tpep_dropoff_datetime": START + timedelta(minutes=1), "trip_distance": 10.0},
-            "unreasonable_average_speed",
-        ),
-    ],
-)
-def test_each_rejection_rule_fires(classified, changes, reason):
-    row = classified([trip(**changes)]).first()
-    assert row.quality_status == "rejected"
-    assert reason in row.quality_reasons.split("|")
-
-
-def test_valid_duplicate_and_rejected(classified):
-    rows = classified([trip(), trip(), trip(fare_amount=-1.0)])
+def rejected_trips():
+    """(trip, reason) with values on the wrong side of every threshold, near it and far from it."""
+    limits = Rules()
+    ends = {"tpep_pickup_datetime": "pickup_datetime", "tpep_dropoff_datetime": "dropoff_datetime"}
+    amounts = ("trip_distance", "fare_amount", "total_amount")
+    for column in (*ends, *amounts):
+        yield trip(**{column: None}), f"missing_{ends.get(column, column)}"
+    for column in amounts:
+        for value in (-0.01, -1e6):
+            yield trip(**{column: value}), f"negative_{column}"
+    for value in (-1, -40):
+        yield trip(passenger_count=value), "negative_passenger_count"
+    for column, end in (("PULocationID", "pickup"), ("DOLocationID", "dropoff")):
+        for value in (None, 0, max(ZONE_IDS) + 1):
+            yield trip(**{column: value}), f"invalid_{end}_zone"
+    for seconds in (1, 7200):
+        yield trip(tpep_dropoff_datetime=START - timedelta(seconds=seconds)), "pickup_after_dropoff"
+    for minutes in (-1, limits.max_duration_minutes + 1, 9 * limits.max_duration_minutes):
+        yield trip(tpep_dropoff_datetime=START + timedelta(minutes=minutes)), "duration_out_of_range"
+    for speed in (limits.max_speed_mph + 1, 40 * limits.max_speed_mph):
+        hour = {"tpep_dropoff_datetime": START + timedelta(hours=1)}
+        yield trip(trip_distance=speed, **hour), "unreasonable_average_speed"
+
+
+def accepted_trips():
+    """Trips that just keep to every threshold."""
+    limits = Rules()
+    yield trip(passenger_count=0, fare_amount=0.0, total_amount=0.0, trip_distance=0.0)
+    yield trip(tpep_dropoff_datetime=START + timedelta(minutes=limits.max_duration_minutes))
+    yield trip(trip_distance=limits.max_speed_mph, tpep_dropoff_datetime=START + timedelta(hours=1))
+    for zone in ZONE_IDS:
+        yield trip(PULocationID=zone, DOLocationID=zone)
+
+
+def test_rejection_rules_fire_beyond_their_thresholds(classified):
+    cases = list(rejected_trips())
+    rows = {r.source_row_number: r for r in classified([changed for changed, _ in cases]).collect()}
+    for number, (_, reason) in enumerate(cases, start=1):
+        assert rows[number].quality_status == "rejected"
+        assert reason in rows[number].quality_reasons.split("|")
+
+
+def test_rejection_rules_spare_their_thresholds(classified):
+    assert {r.quality_status for r in classified(list(accepted_trips())).collect()} == {"valid"}
+
+
+def test_copies_and_rejections_are_counted(classified):
+    rows = classified([trip(), trip(), trip(), trip(tip_amount=0.0), trip(total_amount=-3.0)])
     assert {r.quality_status: r.row_count for r in status_counts(rows).collect()} == {
-        "valid": 1,
-        "warning": 1,
+        "valid": 2,
+        "warning": 2,
         "rejected": 1,
     }
     kept = rows.where("quality_status <> 'rejected'").collect()
-    assert len({r.trip_id for r in kept}) == 2
-    assert len({r.stable_record_hash for r in kept}) == 1
-    assert {r.trip_id[-5:] for r in kept} == {"-0001", "-0002"}
-    assert {r.rule: r.row_count for r in rule_counts(rows).collect()} == {
-        "duplicate_record": 1,
-        "negative_fare_amount": 1,
-    }
+    assert len({r.trip_id for r in kept}) == 4
+    assert len({r.stable_record_hash for r in kept}) == 2
+    assert sorted(r.trip_id[-5:] for r in kept) == ["-0001", "-0001", "-0002", "-0003"]
+    fired = {"duplicate_record": 2, "negative_total_amount": 1}
+    assert {r.rule: r.row_count for r in rule_counts(rows).collect()} == fired
     summary = validation_summary(rows).first()
-    assert (summary.total_rows, summary.status_counts.valid, summary.validated_at) == (3, 1, "2026-01-03T10:00:00Z")
-    assert summary.rule_counts == {"duplicate_record": 1, "negative_fare_amount": 1}
+    assert (summary.total_rows, summary.status_counts.warning, summary.validated_at) == (5, 2, "2026-04-06T07:30:00Z")
+    assert summary.rule_counts == fired
+
+
+def test_ingest_time_is_stored_and_printed_in_utc(spark, raw_trips):
+    ids = spark.createDataFrame([(zone,) for zone in ZONE_IDS], "zone_id int")
+    stamp = datetime(2026, 4, 6, 12, 30, tzinfo=timezone(timedelta(hours=5)))
+    rows = classify(conform(raw_trips([trip()])), ids, Rules(), stamp)
+    assert rows.first().ingested_at == NOW
+    assert validation_summary(rows).first().validated_at == "2026-04-06T07:30:00Z"
 
 
 def test_zero_duration_warns_and_reasons_keep_rule_order(classified):
@@ -103,7 +125,7 @@ def test_missing_passengers_are_valid_and_columns_keep_contract(classified):
 
 @pytest.mark.parametrize(
     ("pickup", "dropoff", "expected"),
-    [(132, 2, True), (1, 138, True), (1, 2, False), (None, 2, None), (None, 132, True), (132, None, True)],
+    [(132, 57, True), (41, 138, True), (41, 57, False), (None, 88, None), (None, 132, True), (138, None, True)],
 )
 def test_airport_flag_is_three_valued(classified, pickup, dropoff, expected):
     assert classified([trip(PULocationID=pickup, DOLocationID=dropoff)]).first().is_airport_trip is expected
@@ -160,7 +182,7 @@ def test_conform_fills_absent_columns_and_resolves_aliases(spark, raw_trips):
     frame = raw_trips([trip(Airport_fee=1.25)])
     renamed = frame.withColumnRenamed("Airport_fee", "airport_fee").withColumnRenamed("RatecodeID", "rate_code_id")
     row = conform(renamed.drop("VendorID", "extra")).first()
-    assert row.airport_fee == 1.25 and row.rate_code_id == 1
+    assert row.airport_fee == 1.25 and row.rate_code_id == 5
     assert row.vendor_id is None and row.extra is None
 
 

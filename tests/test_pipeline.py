@@ -7,6 +7,7 @@ from conftest import START, trip
 from pyspark.sql import functions as F
 
 from tripmart.config import Month, Rules
+from tripmart.errors import ZoneLookupError
 from tripmart.operators.checks import Check, run_checks, standard_checks
 from tripmart.plans.pipeline import PipelineConfig, replace_months, run_pipeline
 from tripmart.plans.serving import daily_metrics
@@ -17,9 +18,9 @@ from tripmart.sources.trips import read_month
 from tripmart.sources.zones import read_zone_file
 from tripmart.streaming.arrivals import ingest_arrivals
 
-NOW = datetime(2026, 1, 3, 10)
+NOW = datetime(2026, 4, 6, 7, 30)
 JAN, FEB = Month("yellow", 2026, 1), Month("yellow", 2026, 2)
-DEMO = [trip(), trip(), trip(fare_amount=-5.0)]
+DEMO = [trip(), trip(), trip(), trip(tip_amount=9.0), trip(total_amount=-2.0), trip(trip_distance=None)]
 
 
 def content(frame):
@@ -27,18 +28,19 @@ def content(frame):
     return sorted(map(repr, frame.select(*names).collect()))
 
 
-def test_whole_run_on_three_rows(spark, write_raw, zone_file, tmp_path):
+def test_whole_run_on_a_few_rows(spark, write_raw, zone_file, tmp_path):
     raw = write_raw(DEMO, tmp_path / "raw")
     config = PipelineConfig({JAN: raw}, zone_file, str(tmp_path / "wh"), NOW)
     report = run_pipeline(spark, config)
-    assert report["loaded_rows"] == 2 and report["zone_rows"] == 4 and report["analytics_ready"]
-    assert report["failed_checks"] == [] and report["profiles"][JAN]["row_count"] == 3
+    assert report["loaded_rows"] == 4 and report["zone_rows"] == 5 and report["analytics_ready"]
+    assert report["failed_checks"] == [] and report["profiles"][JAN]["row_count"] == 6
     warehouse = Warehouse(spark, str(tmp_path / "wh"), Rules())
     day = daily_metrics(warehouse.relations()).items.collect()
-    assert len(day) == 1 and day[0].trip_count == 2 and day[0].total_revenue == 47.0
-    assert warehouse.outcome("rejected").first().quality_reasons == "negative_fare_amount"
+    assert len(day) == 1 and day[0].trip_count == 4 and day[0].total_revenue == 4 * 39.0
+    reasons = sorted(r.quality_reasons for r in warehouse.outcome("rejected").collect())
+    assert reasons == ["missing_trip_distance", "negative_total_amount"]
     summary = latest_summary(spark, warehouse.path("summaries"))
-    assert summary["status_counts"] == {"valid": 1, "warning": 1, "rejected": 1}
+    assert summary["status_counts"] == {"valid": 2, "warning": 2, "rejected": 2}
     assert summary["artifact_name"] == "validation_2026_01_yellow"
 
 
@@ -59,7 +61,7 @@ def load(spark, raw_trips, zone_file, tmp_path):
 
 def test_rerun_changes_nothing_and_months_are_independent(load):
     warehouse, run = load
-    assert run((JAN, DEMO), (FEB, [trip(), trip(total_amount=None)])).loaded_rows == 3
+    assert run((JAN, DEMO), (FEB, [trip(), trip(total_amount=None)])).loaded_rows == 5
     before = content(warehouse.classified())
     marts = content(warehouse.stored("mart_daily_trip_metrics"))
     assert run((FEB, [trip(), trip(total_amount=None)])).loaded_rows == 1
@@ -97,6 +99,38 @@ def test_more_months_than_one_job_replaces(load):
     assert warehouse.staging().select("source_year", "source_month").distinct().count() == 35
 
 
+def test_many_months_are_one_run(load):
+    warehouse, run = load
+    months = [Month("yellow", 2010 + n // 12, 1 + n % 12) for n in range(70)]
+    run(*[(month, [trip(fare_amount=float(n))]) for n, month in enumerate(months[:69])], asked=months)
+    assert warehouse.staging().count() == 69
+    run((months[69], [trip()]), asked=months[60:])
+    assert sorted((r.source_year, r.source_month) for r in warehouse.staging().collect()) == [(m.year, m.month) for m in [*months[:60], months[69]]]
+
+
+def test_a_bad_lookup_changes_no_stored_table(load, spark, tmp_path):
+    warehouse, run = load
+    run((JAN, DEMO))
+    zones, rows = content(warehouse.zones()), content(warehouse.classified())
+    path = tmp_path / "bad.csv"
+    path.write_text("LocationID,Borough,Zone,service_zone\nseven,A,B,C\n")
+    with pytest.raises(ZoneLookupError):
+        replace_months(warehouse.classified(), read_zone_file(spark, str(path)), warehouse, NOW)
+    assert content(warehouse.zones()) == zones and content(warehouse.classified()) == rows
+
+
+def test_a_failed_write_leaves_the_old_table(load):
+    warehouse, run = load
+    run((JAN, DEMO))
+    before = content(warehouse.stored("mart_daily_trip_metrics"))
+    broken = warehouse.stored("mart_daily_trip_metrics").withColumn("trip_count", F.raise_error(F.lit("stop")).cast("bigint"))
+    with pytest.raises(Exception, match="stop"):
+        warehouse.replace_table("mart_daily_trip_metrics", broken)
+    assert content(warehouse.stored("mart_daily_trip_metrics")) == before
+    run((JAN, [trip()]))
+    assert warehouse.stored("mart_daily_trip_metrics").first().trip_count == 1
+
+
 def test_every_row_lands_in_one_outcome_and_marts_add_up(load):
     warehouse, run = load
     run((JAN, [trip(fare_amount=float(n % 9 - 2), trip_distance=float(n % 4)) for n in range(60)]))
@@ -183,17 +217,17 @@ def test_arrivals_reprocess_only_touched_months(spark, write_raw, zone_file, tmp
     write_raw(DEMO, raw / JAN.directory)
     write_raw([trip(fare_amount=7.0)], raw / FEB.directory)
     run()
-    assert warehouse.staging().count() == 3
+    assert warehouse.staging().count() == 5
     late = [trip(), trip(tpep_pickup_datetime=START + timedelta(minutes=1))]
     write_raw(late, raw / JAN.directory, mode="append")
     run()
     staged = warehouse.staging()
     loaded = {r.source_month: r["count"] for r in staged.groupBy("source_month").count().collect()}
-    assert loaded == {1: 4, 2: 1}
+    assert loaded == {1: 6, 2: 1}
     stamps = {r.source_month: r.at for r in staged.groupBy("source_month").agg(F.max("ingested_at").alias("at")).collect()}
     assert stamps == {1: NOW + timedelta(days=1), 2: NOW}
     run()
-    assert warehouse.staging().count() == 5
+    assert warehouse.staging().count() == 7
     batch = Warehouse(spark, str(tmp_path / "batch"), Rules())
     trips = read_month(spark, str(raw / JAN.directory), JAN).unionByName(
         read_month(spark, str(raw / FEB.directory), FEB)

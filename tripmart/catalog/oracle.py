@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
+from tripmart.plans.models import FACT_COLUMNS
+from tripmart.sources.schema import TRIP_COLUMNS
+
 RUN = "'yellow' AS service, 2026 AS source_year, 1 AS source_month"
 INGESTED = "TIMESTAMP '2026-01-03 10:00:00'"
 DATES = "pickup_date BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'"
 AT_ZONE = "(pickup_zone_id = 5 OR dropoff_zone_id = 5)"
 
-TYPED = (
-    "vendor_id pickup_datetime dropoff_datetime passenger_count trip_distance rate_code_id "
-    "store_and_fwd_flag pickup_zone_id dropoff_zone_id payment_type fare_amount extra mta_tax "
-    "tip_amount tolls_amount improvement_surcharge total_amount congestion_surcharge airport_fee"
-).split()
+TYPED = [column.name for column in TRIP_COLUMNS]
 MEASURES = ["duration_minutes", "average_speed_mph", "revenue_per_mile"]
-FACT = (
-    "trip_id service pickup_datetime dropoff_datetime pickup_date pickup_hour pickup_zone_id "
-    "dropoff_zone_id passenger_count trip_distance fare_amount tip_amount tolls_amount total_amount "
-    "payment_type rate_code_id duration_minutes average_speed_mph revenue_per_mile is_airport_trip "
-    "quality_status quality_reasons source_file ingested_at"
-).split()
+FACT = list(FACT_COLUMNS)
 
 
 def names(*columns: str) -> str:
@@ -321,7 +315,73 @@ BY_QUARTER = (
 )
 ALL_BUT_RUN = "* EXCLUDE (service, source_year, source_month)"
 
+# Types in which the driver tables' trips come, where they differ from the contract or are altered by the query.
+DRIFT = {
+    "fare_amount": ("string", "count_if(fare_amount IS NOT NULL OR source_row_number % 17 = 0)", "count_if(source_row_number % 17 = 0)"),
+    "passenger_count": (
+        "string",
+        "count_if(passenger_count IS NOT NULL OR source_row_number % 19 = 0)",
+        "count_if(source_row_number % 19 = 0)",
+    ),
+    "airport_fee": ("absent", "count_if(false)", "count_if(false)"),
+}
+CONTRACT_TYPES = {
+    "vendor_id": "bigint", "pickup_datetime": "timestamp_ntz", "dropoff_datetime": "timestamp_ntz", "rate_code_id": "int",
+    "store_and_fwd_flag": "string", "pickup_zone_id": "int", "dropoff_zone_id": "int", "payment_type": "int",
+}
+WIDER_TYPES = {name: "bigint" for name in ("rate_code_id", "pickup_zone_id", "dropoff_zone_id", "payment_type")}
+
+
+def _drift(column: str) -> str:
+    target = CONTRACT_TYPES.get(column, "double")
+    source, held, lost = DRIFT.get(column, (WIDER_TYPES.get(column, target), f"count({column})", "0"))
+    return (
+        f"SELECT 'lineitem' AS source_file, '{column}' AS column_name, '{source}' AS source_type, '{target}' AS target_type, "
+        f"({held})::BIGINT AS source_values, ({lost})::BIGINT AS lost_values FROM trips"
+    )
+
+
+def _outside(column: str, alias: str) -> str:
+    return f"count_if({column} IS NOT NULL AND date_trunc('month', {column}) <> date_trunc('month', o_orderdate))::BIGINT AS {alias}"
+
+
+ANOMALY_FLAGS = [
+    ("zero_distance_high_fare", "trip_distance = 0 AND fare_amount >= 50"),
+    ("high_fare_per_mile", "trip_distance > 0 AND fare_amount / trip_distance > 25"),
+    ("airport_like_fare", "fare_amount >= 90 AND NOT coalesce(is_airport_trip, false)"),
+    ("missing_location", "pickup_zone_id IS NULL OR dropoff_zone_id IS NULL"),
+]
+FLAGGED = names(*[f"if({test}, '{name}', NULL)" for name, test in ANOMALY_FLAGS])
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
 ORACLE: dict[str, str] = {
+    "table_files": " UNION ALL ".join(f"SELECT '{t}' AS table_name, 1::BIGINT AS file_count, count(*) AS row_count FROM {t}" for t in TABLES),
+    "top_dropoff_zones": sql(
+        "SELECT zone_id, borough, zone_name, coalesce(n, 0)::BIGINT AS dropoff_trip_count, coalesce(total, 0)::DOUBLE AS total_revenue "
+        "FROM dimz LEFT JOIN (SELECT dropoff_zone_id AS zone_id, count(*) AS n, round(sum(total_amount), 2) AS total FROM fact GROUP BY ALL) "
+        "USING (zone_id) ORDER BY dropoff_trip_count DESC, zone_id LIMIT 20",
+        "dimz",
+    ),
+    "anomaly_flags": sql(
+        f"FROM (SELECT trip_id, source_row_number, quality_status, concat_ws('|', {FLAGGED}) AS anomaly_flags FROM judged) "
+        "WHERE anomaly_flags <> ''",
+        "judged",
+    ),
+    "rejected_summary": sql(
+        "SELECT rule, pickup_zone_id, source_file, count(*) AS rejected_rows FROM (SELECT unnest(string_split(quality_reasons, '|')) AS rule, "
+        "pickup_zone_id, source_file FROM judged WHERE quality_status = 'rejected') GROUP BY ALL",
+        "judged",
+    ),
+    "out_of_month": sql(
+        "SELECT 'yellow' AS service, year(o_orderdate)::INTEGER AS source_year, month(o_orderdate)::INTEGER AS source_month, "
+        f"count(*) AS trip_count, {_outside('pickup_datetime', 'pickups_outside')}, {_outside('dropoff_datetime', 'dropoffs_outside')} "
+        "FROM trips GROUP BY ALL",
+        "trips",
+    ),
+    "schema_drift": sql(" UNION ALL ".join(_drift(column) for column in TYPED), "trips"),
+    "duplicate_rank_split": sql(
+        "SELECT stable_record_hash, source_row_number, copy_no AS duplicate_rank FROM measured", "measured"
+    ),
     "normalized_trips": sql(f"SELECT source_row_number, {names(*TYPED)} FROM trips", "trips"),
     "measured_trips": sql(f"SELECT source_row_number, {names(*TYPED, *MEASURES)} FROM measured", "measured"),
     "record_hash": sql("SELECT source_row_number, stable_record_hash FROM hashed", "hashed"),
@@ -384,7 +444,7 @@ ORACLE: dict[str, str] = {
     "overview": sql(f"SELECT {KPIS} FROM fact", "fact"),
     "overview_zone": sql(f"SELECT {KPIS} FROM fact WHERE {DATES} AND {AT_ZONE}", "fact"),
     "daily_metrics_page": sql("FROM daily ORDER BY total_revenue DESC, pickup_date LIMIT 15 OFFSET 5", "daily"),
-    "daily_metrics_range": sql(f"FROM daily WHERE {DATES} ORDER BY pickup_date LIMIT 500", "daily"),
+    "daily_metrics_range": sql(f"FROM daily WHERE {DATES} ORDER BY pickup_date", "daily"),
     "hourly_demand_page": sql(
         "FROM hourly ORDER BY trip_count DESC, pickup_date, pickup_hour LIMIT 50 OFFSET 10", "hourly"
     ),
@@ -445,7 +505,7 @@ ORACLE: dict[str, str] = {
     "dashboard_hourly": sql(
         "FROM hourly ORDER BY pickup_hour, pickup_date LIMIT 24", "hourly"
     ),
-    "daily_export": sql(f"FROM daily WHERE {DATES} ORDER BY pickup_date LIMIT 10000", "daily"),
+    "daily_export": sql(f"FROM daily WHERE {DATES} ORDER BY pickup_date", "daily"),
     "metadata": sql(
         "SELECT 'yellow' AS service, if(count_if(service = 'yellow') > 0, 'available', 'empty') AS service_status, "
         "min(pickup_date) AS start_date, max(pickup_date) AS end_date, "

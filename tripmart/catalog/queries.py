@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tripmart.catalog.store import driver_relations, driver_warehouse, new_folder
 from tripmart.config import MONTH_COLUMNS
 from tripmart.operators import classify as c
-from tripmart.operators import summary
+from tripmart.operators import reports, summary
 from tripmart.operators.checks import run_checks, standard_checks
 from tripmart.operators.paging import PageRequest
 from tripmart.operators.profile import profile_columns
@@ -20,7 +20,7 @@ from tripmart.plans import models, serving
 from tripmart.plans.pipeline import replace_months
 from tripmart.plans.warehouse import Warehouse
 from tripmart.sources.driver_tables import DRIVER_INGESTED_AT, DRIVER_RULES, driver_trips, driver_zone_lookup
-from tripmart.sources.files import file_inventory, parquet_footers
+from tripmart.sources.files import table_files
 from tripmart.sources.schema import CLASSIFIED_SCHEMA, LINEAGE_COLUMNS, TRIP_COLUMNS, conform
 from tripmart.sources.summaries import newest_summary, read_summaries, write_summaries
 from tripmart.sources.trips import first_rows
@@ -37,6 +37,9 @@ PARTITION_FREE = [name for name in CLASSIFIED_SCHEMA.names if name not in MONTH_
 ZONE = 5
 START, END = date(1997, 1, 1), date(1997, 12, 31)
 SAMPLE_ROWS = 1000
+# Two copies are hot enough to be split, and slices are shorter than the distance of copies.
+HOT_ROWS, SLICE = 2, 1
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 # Columns that are sums (compared to the cent) and means (compared to six digits).
 SUMS = {
@@ -111,6 +114,14 @@ def duplicate_rank(spark, sf_dir):
     return ranked.select("stable_record_hash", "source_row_number", "duplicate_rank")
 
 
+def duplicate_rank_split(spark, sf_dir):
+    """The same ranks with every repeated record treated as hot and split into slices."""
+    trips = _trips(spark, sf_dir)
+    hot = hot_records(survey_months(trips, hot_group_rows=HOT_ROWS))
+    ranked = rank_copies(trips, hot, slice_rows=SLICE)
+    return ranked.select("stable_record_hash", "source_row_number", "duplicate_rank")
+
+
 def classified_trips(spark, sf_dir):
     return _classified(spark, sf_dir)
 
@@ -124,11 +135,11 @@ def rejected_trips(spark, sf_dir):
 
 
 def status_counts(spark, sf_dir):
-    return summary.status_counts(_classified(spark, sf_dir))
+    return summary.status_counts(driver_warehouse(spark, sf_dir).classified())
 
 
 def rule_counts(spark, sf_dir):
-    return summary.rule_counts(_classified(spark, sf_dir))
+    return summary.rule_counts(driver_warehouse(spark, sf_dir).classified())
 
 
 def validation_summary(spark, sf_dir):
@@ -216,8 +227,8 @@ def daily_metrics_page(spark, sf_dir):
 
 
 def daily_metrics_range(spark, sf_dir):
-    page = PageRequest("pickup_date", limit=500)
-    return serving.daily_metrics(_served(spark, sf_dir), START, END, page).items
+    """Every day of the range, unpaged."""
+    return serving.daily_export(_served(spark, sf_dir), START, END)
 
 
 def hourly_demand_page(spark, sf_dir):
@@ -357,13 +368,39 @@ def incremental_ingest(spark, sf_dir):
     return warehouse.staging().drop("source_row_number", "source_file")
 
 
-def file_inventory_query(spark, sf_dir):
-    return file_inventory(spark, sf_dir, "*.parquet")
+def table_files_query(spark, sf_dir):
+    return table_files(spark, sf_dir, TABLES)
+
+
+# --- further reports -----------------------------------------------------------------------------------
+
 
+def top_dropoff_zones(spark, sf_dir):
+    return comparable(serving.top_dropoff_zones(driver_relations(spark, sf_dir), PageRequest("dropoff_trip_count", "desc", limit=20)).items)
 
-def file_footers(spark, sf_dir):
-    paths = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(sf_dir).inputFiles()
-    return parquet_footers(spark, paths)
+
+def anomaly_flags(spark, sf_dir):
+    return reports.anomaly_flags(driver_warehouse(spark, sf_dir).classified())
+
+
+def rejected_summary(spark, sf_dir):
+    return reports.rejected_summary(driver_warehouse(spark, sf_dir).classified())
+
+
+def out_of_month(spark, sf_dir):
+    return reports.out_of_month(conform(driver_trips(spark, sf_dir, by_order_month=True)))
+
+
+def schema_drift(spark, sf_dir):
+    """Trips whose fares and passengers come as text with values that are no numbers."""
+    row = F.col("source_row_number")
+    raw = driver_trips(spark, sf_dir).withColumns(
+        {
+            "fare_amount": F.when(row % 17 == 0, "n/a").otherwise(F.col("fare_amount").cast("string")),
+            "passenger_count": F.when(row % 19 == 0, "two").otherwise(F.col("passenger_count").cast("string")),
+        }
+    )
+    return reports.schema_drift(raw.drop("airport_fee"))
 
 
 QUERIES: dict[str, Query] = {
@@ -425,6 +462,11 @@ QUERIES: dict[str, Query] = {
     "latest_quality_summary": latest_quality_summary,
     "backfill_months": backfill_months,
     "incremental_ingest": incremental_ingest,
-    "file_inventory": file_inventory_query,
-    "file_footers": file_footers,
+    "table_files": table_files_query,
+    "top_dropoff_zones": top_dropoff_zones,
+    "anomaly_flags": anomaly_flags,
+    "rejected_summary": rejected_summary,
+    "out_of_month": out_of_month,
+    "schema_drift": schema_drift,
+    "duplicate_rank_split": duplicate_rank_split,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,12 +20,29 @@ def new_folder(spark: SparkSession, name: str, sf_dir: str) -> str:
     return f"{shared_folder(spark)}/tripmart/{spark.sparkContext.applicationId}/{name}-{scale}"
 
 
-_BUILT: dict[tuple[str, str], Warehouse] = {}
+_BUILT: dict[tuple, Warehouse] = {}
+_BUILDING = Lock()
+INPUTS = ("lineitem", "orders", "nation", "region")
+
+
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Size and last change of the input tables, so that changed inputs are not answered from an old build."""
+    state = []
+    for name in INPUTS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        state += [files.getContentSummary(path).getLength(), files.getFileStatus(path).getModificationTime()]
+    return tuple(state)
 
 
 def driver_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Staging, rollups, marts and summary of the driver tables; later calls reuse them."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """Staging, rollups, marts and summary of the driver tables; later calls reuse them while the inputs are the same."""
+    with _BUILDING:
+        return _warehouse(spark, sf_dir)
+
+
+def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    key = (spark.sparkContext.applicationId, sf_dir, *input_state(spark, sf_dir))
     if key not in _BUILT:
         warehouse = Warehouse(spark, new_folder(spark, "warehouse", sf_dir), DRIVER_RULES)
         trips = conform(driver_trips(spark, sf_dir))

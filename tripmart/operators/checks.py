@@ -94,6 +94,10 @@ def _report(check: Check, violations: Column) -> Column:
     )
 
 
+def unique_key(column: str) -> Column:
+    return F.xxhash64(F.col(column))
+
+
 def _single_pass(model: DataFrame, checks: list[Check], relations: Mapping[str, DataFrame]) -> DataFrame:
     """All row and relationship checks of one model in one scan.
 
@@ -119,9 +123,10 @@ def _single_pass(model: DataFrame, checks: list[Check], relations: Mapping[str,
 
 
 def _repeated_keys(model: DataFrame, check: Check) -> DataFrame:
-    repeated = (
-        model.where(F.col(check.column).isNotNull()).groupBy(check.column).count().where("count > 1")
-    )
+    """Keys that occur twice or more. All rows are grouped by a 64-bit key only; full values are compared where it repeats."""
+    keyed = model.where(F.col(check.column).isNotNull()).select(check.column, unique_key(check.column).alias("_key"))
+    again = keyed.groupBy("_key").count().where("count > 1").select("_key")
+    repeated = keyed.join(again, "_key", "left_semi").groupBy(check.column).count().where("count > 1")
     return repeated.agg(F.count("*").alias("n")).select(F.inline(F.array(_report(check, F.col("n")))))
 
 

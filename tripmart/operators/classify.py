@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,6 +83,13 @@ def _fired(named: dict[str, Column]) -> Column:
     return F.concat_ws(REASON_SEPARATOR, *[F.when(test, F.lit(name)) for name, test in named.items()])
 
 
+def utc_second(moment: datetime) -> datetime:
+    """A moment as UTC wall clock to the second; a time without zone is taken as UTC."""
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(timezone.utc)
+    return moment.replace(microsecond=0, tzinfo=None)
+
+
 def classify(
     trips: DataFrame,
     zone_ids: DataFrame,
@@ -116,7 +123,7 @@ def classify(
             "is_airport_trip": touches(rules.airport_zone_ids, "pickup_zone_id", "dropoff_zone_id"),
             "quality_status": status,
             "quality_reasons": reasons,
-            "ingested_at": F.lit(ingested_at.replace(microsecond=0, tzinfo=None)).cast("timestamp_ntz"),
+            "ingested_at": F.lit(utc_second(ingested_at)).cast("timestamp_ntz"),
         }
     ).select(*CLASSIFIED_SCHEMA.names)
 

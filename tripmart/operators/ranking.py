@@ -15,10 +15,11 @@ from tripmart.sources.schema import TRIP_COLUMNS
 # A group of copies up to this size is ranked by one task; larger ones are split.
 HOT_GROUP_ROWS = 1_000_000
 SLICE_ROWS = 1_000_000
-# The frequency sketch keeps this many candidates per month and reports at most this many.
+# Least number of candidates the frequency sketch keeps per month; see sketch_size.
 SKETCH_ITEMS = 16_384
-SKETCH_REPORTED = 4_096
 SKETCH_MERGERS = 256
+# A longer list of hot keys is joined without a broadcast hint.
+BROADCAST_KEYS = 1_000_000
 
 # Identity of a record in its month. The key comes first: it is short to shuffle and sort, and
 # the hash, which settles equality, is only computed where the rows have arrived.
@@ -59,7 +60,8 @@ def survey_months(trips: DataFrame, hot_group_rows: int = HOT_GROUP_ROWS) -> lis
     counted = trips.groupBy(*MONTH_COLUMNS).agg(F.count("*").alias("rows")).collect()
     rows = {Month(*row[:3]): row.rows for row in counted}
     suspects = sorted(month for month, count in rows.items() if count >= hot_group_rows)
-    hot = _hot_records(trips.where(in_months(suspects)), hot_group_rows) if suspects else {}
+    most = max((rows[month] for month in suspects), default=0) // hot_group_rows
+    hot = _hot_records(trips.where(in_months(suspects)), hot_group_rows, most) if suspects else {}
     return [MonthSurvey(month, rows[month], hot.get(month, ())) for month in sorted(rows)]
 
 
@@ -68,21 +70,25 @@ def in_months(months: Iterable[Month]) -> Column:
     return F.struct(*MONTH_COLUMNS).isin(listed)
 
 
-def _hot_records(trips: DataFrame, hot_group_rows: int) -> dict[Month, tuple[int, ...]]:
+def sketch_size(most: int) -> int:
+    """Candidates to keep so that all of up to `most` hot records stand out: a power of two, four times as many."""
+    return min(max(SKETCH_ITEMS, 1 << (4 * most).bit_length()), 1_000_000)
+
+
+def _hot_records(trips: DataFrame, hot_group_rows: int, most: int) -> dict[Month, tuple[int, ...]]:
     """Keys of very frequent records per month, from one scan.
 
-    A frequent-items sketch is built per task, merged in two steps and never holds more than
-    `SKETCH_ITEMS` keys, so the driver sees a bounded list. A record the sketch cannot tell
-    apart from noise has less than about 1/12000 of its month, the size of an ordinary task.
+    A month of n rows holds at most n / hot_group_rows = `most` hot records, and that many are reported, so
+    none is left unsplit. A frequent-items sketch is built per task, merged in two steps and grows with `most` only.
     """
-    accumulate = F.call_function("approx_top_k_accumulate", record_key(), F.lit(SKETCH_ITEMS))
+    accumulate = F.call_function("approx_top_k_accumulate", record_key(), F.lit(sketch_size(most)))
     merged = (
         trips.groupBy(*MONTH_COLUMNS, (F.spark_partition_id() % SKETCH_MERGERS).alias("merger"))
         .agg(accumulate.alias("sketch"))
         .groupBy(*MONTH_COLUMNS)
         .agg(F.call_function("approx_top_k_combine", "sketch").alias("sketch"))
     )
-    top = F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(SKETCH_REPORTED))
+    top = F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(min(max(most, 1), sketch_size(most))))
     hot = F.transform(F.filter(top, lambda t: t["count"] >= hot_group_rows), lambda t: t["item"])
     found = merged.select(*MONTH_COLUMNS, hot.alias("hot")).collect()
     return {Month(*row[:3]): tuple(sorted(row.hot)) for row in found}
@@ -107,10 +113,10 @@ def rank_copies(
     keyed = trips.withColumn("_record_key", record_key())
     if not hot:
         return _rank_together(keyed, buckets)
-    # At most SKETCH_REPORTED keys per month. A join, because a filter on a hash of all columns makes
+    # At most rows / hot_group_rows keys per month. A join, because a filter on a hash of all columns makes
     # the optimizer derive a constraint for every combination of their aliases.
     listed = trips.sparkSession.range(1).select(F.explode(F.lit(list(hot)).cast("array<bigint>")).alias("_record_key"))
-    hot_keys = F.broadcast(listed)
+    hot_keys = F.broadcast(listed) if len(hot) <= BROADCAST_KEYS else listed
     usual = _rank_together(keyed.join(hot_keys, "_record_key", "left_anti"), buckets)
     split = _rank_in_slices(keyed.join(hot_keys, "_record_key", "left_semi"), slice_rows)
     return usual.unionByName(split)

@@ -19,7 +19,7 @@ from tripmart.operators.profile import profile_files, write_profile
 from tripmart.operators.ranking import HOT_GROUP_ROWS, MonthSurvey, hot_records, in_months, survey_months
 from tripmart.operators.summary import validation_summary
 from tripmart.plans.serving import readiness
-from tripmart.plans.warehouse import OUTCOMES, REJECTED, VALIDATED, Warehouse, by_partition, month_batches, side_by_side
+from tripmart.plans.warehouse import OUTCOMES, REJECTED, VALIDATED, Warehouse, by_partition, side_by_side
 from tripmart.sources.summaries import write_summaries
 from tripmart.sources.trips import month_files, read_month
 from tripmart.sources.zones import read_zone_file, zone_ids, zone_table
@@ -70,16 +70,14 @@ def validate_months(
     tasks = int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     outcome = F.when(F.col("quality_status") == "rejected", REJECTED).otherwise(VALIDATED)
     layout = ("outcome", *MONTH_COLUMNS)
-    for batch in month_batches(wanted, per_month=len(OUTCOMES)):
-        present = [surveys[month] for month in batch if month in surveys]
-        rows = trips if len(batch) == len(wanted) else trips.where(in_months(batch))
-        classified = classify(
-            rows, ids, warehouse.rules, ingested_at, hot_records(present), month_buckets(present, tasks)
-        )
-        # Sorting inside each task lets later date filters skip row groups.
-        sorted_rows = classified.withColumn("outcome", outcome).sortWithinPartitions(*layout, "pickup_datetime")
-        partitions = [(name, m.service, m.year, m.month) for name in OUTCOMES for m in batch]
-        warehouse.replace_partitions("trips", sorted_rows, layout, partitions)
+    present = [surveys[month] for month in wanted if month in surveys]
+    classified = classify(
+        trips, ids, warehouse.rules, ingested_at, hot_records(present), month_buckets(present, tasks)
+    )
+    # Sorting inside each task lets later date filters skip row groups.
+    sorted_rows = classified.withColumn("outcome", outcome).sortWithinPartitions(*layout, "pickup_datetime")
+    partitions = [(name, m.service, m.year, m.month) for name in OUTCOMES for m in wanted]
+    warehouse.replace_partitions("trips", sorted_rows, layout, partitions)
     return wanted
 
 
@@ -98,12 +96,12 @@ def replace_months(
     hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> RunReport:
     """Bring the warehouse up to date with the given raw months and zone lookup; rerunnable."""
+    ids = zone_ids(zones)  # a bad lookup is refused before anything is written
     warehouse.replace_zones(zone_table(zones))
-    done = validate_months(trips, zone_ids(zones), warehouse, ingested_at, months, hot_group_rows)
+    done = validate_months(trips, ids, warehouse, ingested_at, months, hot_group_rows)
 
     def derive() -> None:
-        for batch in month_batches(done, per_month=1):
-            warehouse.derive_months(batch)
+        warehouse.derive_months(done)
         warehouse.rebuild_marts()
 
     side_by_side([derive, partial(summarise_months, warehouse, done)])

@@ -114,6 +114,14 @@ def mart_zone(by_route: DataFrame) -> DataFrame:
     )
 
 
+def arrivals_by_zone(by_route: DataFrame) -> DataFrame:
+    return by_route.groupBy("dropoff_zone_id").agg(*added("trips", "revenue")).select(
+        F.col("dropoff_zone_id").alias("zone_id"),
+        F.col("trips").alias("dropoff_trip_count"),
+        F.col("revenue").alias("total_revenue"),
+    )
+
+
 def mart_route(by_route: DataFrame) -> DataFrame:
     sums = added("trips", "miles", "miles_n", "minutes", "minutes_n", "revenue")
     return by_route.groupBy("pickup_zone_id", "dropoff_zone_id").agg(*sums).select(

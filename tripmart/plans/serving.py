@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tripmart.config import SERVICES
 from tripmart.errors import EmptyResult, InvalidRequest, MissingRelation, UnknownZone
 from tripmart.operators.paging import DEFAULT_LIMIT, Page, PageRequest, at_zone, cut, in_dates
-from tripmart.plans.rollups import overview_totals, route_rollup, time_rollup, zone_totals
+from tripmart.plans.rollups import arrivals_by_zone, overview_totals, route_rollup, time_rollup, zone_totals
 
 Relations = Mapping[str, DataFrame]
 
@@ -25,13 +25,13 @@ ROLLED_UP_MARTS = (
 )
 MARTS = (*ROLLED_UP_MARTS, "mart_anomalous_trips")
 KEY_RELATIONS = ("fct_trips", "dim_zone", *MARTS)
-EXPORT_LIMIT = 10_000
 
 # Keys by which each list can be sorted.
 DAILY_SORTS = ("pickup_date", "trip_count", "total_revenue", "average_duration_minutes")
 HOURLY_SORTS = ("pickup_date", "pickup_hour", "trip_count", "total_revenue")
 REVENUE_SORTS = ("pickup_date", "trip_count", "total_revenue", "payment_type")
 ZONE_SORTS = ("zone_id", "zone_name", "pickup_trip_count", "total_revenue")
+DROPOFF_SORTS = ("zone_id", "dropoff_trip_count", "total_revenue")
 ROUTE_SORTS = ("trip_count", "total_revenue", "average_trip_distance", "average_duration_minutes")
 ANOMALY_SORTS = ("pickup_datetime", "total_amount", "trip_distance", "average_speed_mph")
 
@@ -158,6 +158,15 @@ def _named_ends(relations: Relations, rows: DataFrame) -> DataFrame:
     return rows.join(pickup, "pickup_zone_id").join(dropoff, "dropoff_zone_id")
 
 
+def top_dropoff_zones(relations: Relations, page: PageRequest = PageRequest("dropoff_trip_count", "desc")) -> Page:
+    """Zones by arriving trips, from the route rollup; zones without arrivals show zero."""
+    arrived = arrivals_by_zone(_by_route(relations))
+    zones = _relation(relations, "dim_zone").select("zone_id", "borough", "zone_name")
+    rows = zones.join(arrived, "zone_id", "left").withColumn("dropoff_trip_count", F.coalesce("dropoff_trip_count", F.lit(0)))
+    rows = rows.withColumn("total_revenue", F.coalesce("total_revenue", F.lit(0.0)))
+    return Page(cut(rows, page, _same(DROPOFF_SORTS), ("zone_id",)), zones, "zones")
+
+
 def top_routes(
     relations: Relations,
     zone_id: int | None = None,
@@ -215,9 +224,8 @@ def anomalies(
 
 
 def daily_export(relations: Relations, start: date | None = None, end: date | None = None) -> DataFrame:
-    """The rows of the daily CSV, in date order, up to the export limit."""
-    page = PageRequest("pickup_date", limit=EXPORT_LIMIT, max_limit=EXPORT_LIMIT)
-    return daily_metrics(relations, start, end, page).items
+    """All rows of the daily CSV, in date order; however many days the range holds, none is left out."""
+    return in_dates(_relation(relations, "mart_daily_trip_metrics"), start, end).orderBy("pickup_date")
 
 
 def write_daily_csv(

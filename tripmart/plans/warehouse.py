@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import cached_property, partial
-from itertools import batched
 
 from pyspark import InheritableThread
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,8 +20,8 @@ from tripmart.sources.schema import CLASSIFIED_SCHEMA
 VALIDATED, REJECTED = "validated", "rejected"
 OUTCOMES = (VALIDATED, REJECTED)
 
-# Partitions one job may replace: a 64-bit mask records which of them received rows.
-PARTITIONS_PER_JOB = 62
+# Partitions recorded by one 64-bit mask; a write of more partitions observes several masks.
+MASK_BITS = 62
 
 MONTH_FIELDS = [
     T.StructField("service", T.StringType()),
@@ -49,6 +48,29 @@ ROLLUP_MARTS = {
 }
 
 
+VERSION = "version"
+
+
+def completed_versions(spark: SparkSession, folder: str) -> list[str]:
+    """Sub-folders of a table that hold a finished write, in order. A table has two at most, so the listing is short."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    found = [status.getPath() for status in files.listStatus(path)]
+    return sorted(
+        f"{folder}/{item.getName()}"
+        for item in found
+        if item.getName().startswith(f"{VERSION}=") and files.exists(jvm.org.apache.hadoop.fs.Path(item, "_SUCCESS"))
+    )
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def side_by_side(jobs: Sequence[Callable[[], None]]) -> None:
     """Submit a few independent Spark jobs together; the first failure is raised."""
     failures: list[Exception] = []
@@ -111,13 +133,32 @@ class Warehouse:
         return self.outcome(VALIDATED)
 
     def zones(self) -> DataFrame:
-        return self._read("zones", ZONES_SCHEMA)
+        return self._whole("zones", ZONES_SCHEMA)
 
     def replace_zones(self, zones: DataFrame) -> None:
-        zones.write.mode("overwrite").parquet(self.path("zones"))
+        self.replace_table("zones", zones)
+
+    def _versions(self, name: str) -> list[str]:
+        """Completely written versions of a whole table, oldest first."""
+        return completed_versions(self.spark, self.path(name))
 
     def replace_table(self, name: str, rows: DataFrame) -> None:
-        rows.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        """Write a new version beside the current one; readers see it once it is complete, and only then older ones go.
+
+        The version before the new one stays for queries that are already reading it.
+        """
+        versions = self._versions(name)
+        number = 1 + max((int(version.rsplit("=", 1)[1]) for version in versions), default=0)
+        # An attempt that died may have left an incomplete folder of this number behind; it is replaced.
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path(name)}/{VERSION}={number:08d}")
+        for old in versions[:-1]:
+            remove_folder(self.spark, old)
+
+    def _whole(self, name: str, schema: T.StructType | str) -> DataFrame:
+        versions = self._versions(name)
+        if not versions:
+            raise MissingRelation(f"table {name} has not been written")
+        return self.spark.read.schema(schema).parquet(versions[-1])
 
     def replace_partitions(
         self, name: str, rows: DataFrame, columns: Sequence[str], partitions: Sequence[tuple]
@@ -128,21 +169,25 @@ class Warehouse:
         would keep its old content, so the write records which ones were hit, and an empty file
         replaces the others.
         """
-        bits = {values: 1 << position for position, values in enumerate(partitions)}
-        hit = by_partition(columns, bits, "bigint")
+        number = by_partition(columns, {values: position for position, values in enumerate(partitions)}, "int")
         seen = Observation()
+        masks = [
+            F.bit_or(F.when(number.between(first, first + MASK_BITS - 1), F.call_function("shiftleft", F.lit(1).cast("bigint"), number - first))).alias(f"mask_{first}")
+            for first in range(0, len(partitions), MASK_BITS)
+        ]
         (
-            rows.observe(seen, F.bit_or(hit).alias("mask"))
+            rows.observe(seen, *masks)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", "zstd")
             .partitionBy(*columns)
             .parquet(self.path(name))
         )
-        mask = seen.get.get("mask") or 0
+        hit = seen.get
         body = T.StructType([field for field in rows.schema.fields if field.name not in columns])
         for position, values in enumerate(partitions):
-            if not mask >> position & 1:
+            first = position - position % MASK_BITS
+            if not (hit.get(f"mask_{first}") or 0) >> position - first & 1:
                 folder = "/".join(f"{column}={value}" for column, value in zip(columns, values, strict=True))
                 empty = self.spark.createDataFrame([], body)
                 empty.coalesce(1).write.mode("overwrite").parquet(f"{self.path(name)}/{folder}")
@@ -152,6 +197,8 @@ class Warehouse:
 
     def stored(self, name: str) -> DataFrame:
         """A derived table, read with the schema its definition gives (no file is opened for it)."""
+        if name in ROLLUP_MARTS:
+            return self._whole(name, self._derived_schema(name))
         table = self._read(name, self._derived_schema(name))
         return table.select(*models.FACT_COLUMNS) if name == ANOMALIES else table
 
@@ -229,6 +276,3 @@ class StoredRelations(Mapping[str, DataFrame]):
         return len(self._builders)
 
 
-def month_batches(months: Sequence[Month], per_month: int) -> list[tuple[Month, ...]]:
-    """Split months so that no job replaces more partitions than its mask can record."""
-    return list(batched(sorted(months), PARTITIONS_PER_JOB // per_month))

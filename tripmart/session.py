@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
-from tripmart.errors import TripmartError
-
 # Settings the library relies on; everything else is left to the cluster.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -36,16 +32,6 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **settings
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
-
-    Only a local session, where driver and executors are one machine, falls back to a new
-    temporary folder.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise TripmartError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tripmart-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder all executors can reach: spark.checkpoint.dir as the cluster names it, else the session's warehouse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return configured.rstrip("/")

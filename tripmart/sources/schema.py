@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -93,13 +94,18 @@ def safe_cast(source: Column, source_type: T.DataType, kind: str) -> Column:
     return source.try_cast(kind)
 
 
-def conform(raw: DataFrame) -> DataFrame:
-    """The 19 typed trip columns plus whatever lineage columns the frame already carries."""
-    require_columns(raw)
+def source_field(raw: DataFrame, column: TripColumn) -> T.StructField | None:
+    """The source column that a typed column is taken from, found without regard to case."""
     present = {field.name.casefold(): field for field in raw.schema.fields}
+    return next((present[n.casefold()] for n in column.source_names if n.casefold() in present), None)
+
+
+def conform(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The 19 typed trip columns plus whatever lineage columns the frame already carries, and those in `keep`."""
+    require_columns(raw)
     typed = []
     for column in TRIP_COLUMNS:
-        field = next((present[n.casefold()] for n in column.source_names if n.casefold() in present), None)
+        field = source_field(raw, column)
         value = (
             F.lit(None).cast(column.kind)
             if field is None
@@ -107,4 +113,4 @@ def conform(raw: DataFrame) -> DataFrame:
         )
         typed.append(value.alias(column.name))
     lineage = [F.col(name) for name in LINEAGE_COLUMNS if name in raw.columns]
-    return raw.select(*typed, *lineage)
+    return raw.select(*typed, *lineage, *keep)

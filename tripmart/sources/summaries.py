@@ -15,9 +15,9 @@ SUMMARY_SCHEMA = (
     "status_counts struct<valid: bigint, warning: bigint, rejected: bigint>, "
     "rule_counts map<string, bigint>"
 )
-# Artifact names start with year and month; documents stay below this size.
-ARTIFACT_PATTERN = r"(validation_\d{4}_\d{2}[A-Za-z_]*)"
-MAX_SUMMARY_BYTES = 1_000_000
+# Fixed value: artifact names start with year and month. A document is named by the last folder that carries its
+# name as partition value, or else by its file; folders further up play no part.
+ARTIFACT_PATTERN = r"(?:/artifact_name=(validation_\d{4}_\d{2}[A-Za-z_]*)/[^/]*|/(validation_\d{4}_\d{2}[A-Za-z_]*)(?:\.[^/]*)?)$"
 
 
 def write_summaries(summaries: DataFrame, root: str) -> None:
@@ -35,7 +35,7 @@ def write_summaries(summaries: DataFrame, root: str) -> None:
 
 
 def read_summaries(spark: SparkSession, root: str) -> DataFrame:
-    """All stored summaries with their artifact name and size; paths are not carried over."""
+    """All stored summaries with their artifact name; paths are not carried over."""
     stored = (
         spark.read.schema(SUMMARY_SCHEMA)
         .option("multiLine", "true")
@@ -45,8 +45,7 @@ def read_summaries(spark: SparkSession, root: str) -> DataFrame:
     location = F.col("_metadata.file_path")
     return stored.select(
         *stored.columns,
-        F.regexp_extract(location, ARTIFACT_PATTERN, 1).alias("artifact_name"),
-        F.col("_metadata.file_size").alias("artifact_bytes"),
+        F.concat(F.regexp_extract(location, ARTIFACT_PATTERN, 1), F.regexp_extract(location, ARTIFACT_PATTERN, 2)).alias("artifact_name"),
     ).where("artifact_name <> ''")
 
 
@@ -54,12 +53,12 @@ def well_formed() -> Column:
     """Fields present, counts not negative, month in the calendar, statuses adding up."""
     counts = [F.col("status_counts.valid"), F.col("status_counts.warning"), F.col("status_counts.rejected")]
     whole = [F.col("year"), F.col("total_rows"), *counts]
-    test = (F.trim("service") != "") & (F.trim("validated_at") != "") & F.col("month").between(1, 12)
+    test = F.col("service").rlike("\\S") & F.col("validated_at").rlike("\\S") & F.col("month").between(1, 12)
     for value in whole:
         test = test & (value >= 0)
     test = test & (counts[0] + counts[1] + counts[2] == F.col("total_rows"))
     rules_fine = F.forall(F.map_values("rule_counts"), lambda n: n >= 0)
-    return F.coalesce(test & rules_fine & (F.col("artifact_bytes") <= MAX_SUMMARY_BYTES), F.lit(False))
+    return F.coalesce(test & rules_fine, F.lit(False))
 
 
 def malformed_summaries(summaries: DataFrame) -> DataFrame:

@@ -9,8 +9,11 @@ from tripmart.errors import ZoneLookupError
 
 
 def read_zone_file(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of the lookup as text, by header name; a leading byte-order mark is harmless."""
-    lookup = spark.read.csv(path, header=True)
+    """All rows of the lookup as text, by header name; a leading byte-order mark is harmless.
+
+    Quoting is standard CSV: a doubled quote is a quote, and a quoted field may span lines.
+    """
+    lookup = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True)
     if "LocationID" not in lookup.columns:
         raise ZoneLookupError(f"zone lookup has no LocationID column: {path}")
     return lookup

@@ -24,7 +24,6 @@ def ingest_arrivals(
     zones: Callable[[], DataFrame],
     warehouse: Warehouse,
     now: Callable[[], datetime],
-    months_per_job: int = 24,
 ) -> StreamingQuery:
     """Process all files that arrived under {raw_root}/service=/source_year=/source_month=.
 
@@ -36,10 +35,10 @@ def ingest_arrivals(
 
     def reprocess(batch: DataFrame, _: int) -> None:
         touched = sorted(Month(*row) for row in batch.select(*MONTH_COLUMNS).distinct().collect())
-        for start in range(0, len(touched), months_per_job):
-            months = touched[start : start + months_per_job]
-            trips = [read_month(spark, f"{raw_root}/{month.directory}", month) for month in months]
-            replace_months(reduce(DataFrame.unionByName, trips), zones(), warehouse, now(), months)
+        if touched:
+            # One run and one stamp for the batch, however many months it touched.
+            trips = [read_month(spark, f"{raw_root}/{month.directory}", month) for month in touched]
+            replace_months(reduce(DataFrame.unionByName, trips), zones(), warehouse, now(), touched)
 
     return (
         arrivals.writeStream.foreachBatch(reprocess)
