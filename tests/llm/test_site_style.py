@@ -23,6 +23,12 @@ def test_named_parts_go():
     assert text_of(page) == "Title & more First line Second part é<p>"
 
 
+def test_wrappers_are_not_what_they_hold():
+    page = """<body class="has-sidebar"><div id="siteHeader">Name</div><div class="content no-comments with-sidebar"><article class="post has-menu">
+    <div class="article-header"><h1>Title</h1></div><p>Text</p><div class="readerComments">Hm</div></article></div></body>"""
+    assert text_of(page) == "Title Text"
+
+
 def test_pages_without_article_and_odd_markup():
     assert text_of("plain < text & more") == "plain < text & more"
     assert text_of("<p>a<p>b<div>c<span>d</span>e</div>f") == "a b cde f"

@@ -30,9 +30,12 @@ PART_ROLES = frozenset("navigation banner contentinfo complementary search alert
 PART_WORDS = frozenset(
     "ad ads advert adverts advertisement adsense sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs "
     "sidebar aside footer comment comments disqus reply replies cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe "
-    "social share sharing related recommended recommendations widget toolbar pagination pager login signup search masthead topbar".split()
+    "social share sharing related recommended recommendations toolbar pagination pager login signup search masthead topbar".split()
 )
 
+# A class that says what a wrapper has or lacks does not make the wrapper that part.
+ABOUT_WORDS = frozenset("has have with no without open closed enabled".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|template|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>(?:.*?</\1\s*>|.*\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>",
@@ -56,31 +59,34 @@ class Reader:
     """Reads pages; remembers how attributes and paths translate."""
 
     def __init__(self):
-        self.styles: dict[tuple[str, str], tuple[str, bool]] = {}
+        self.styles: dict[tuple[str, str], tuple[str, bool, bool]] = {}
         self.paths: dict[tuple[int, str], int] = {}
 
-    def style(self, tag: str, attributes: str) -> tuple[str, bool]:
-        """Presentation of an element (tag and class words without digits), and whether it is a part that is never main text."""
+    def style(self, tag: str, attributes: str) -> tuple[str, bool, bool]:
+        """Presentation of an element (tag and class words without digits), whether it is never main text, and whether it is a header."""
         if not _MARKED.search(attributes):
-            return tag, tag in PART_TAGS
+            return tag, tag in PART_TAGS, tag == "header"
         known = self.styles.get((tag, attributes))
         if known:
             return known
         words: list[str] = []
-        part = tag in PART_TAGS
+        part, header = tag in PART_TAGS, tag == "header"
         for name, *values in _ATTRIBUTE.findall(attributes):
-            name, value = name.lower(), next((x for x in values if x), "").lower()
+            name, value = name.lower(), next((x for x in values if x), "")
             if name in ("class", "id"):
-                own = _WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value))
-                part |= tag not in ("body", "html", "main") and not PART_WORDS.isdisjoint(own)
-                words += own if name == "class" else ()
+                for group in value.split():
+                    own = _WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", group).lower())
+                    words += own if name == "class" else ()
+                    if tag not in ("body", "html", "main") and ABOUT_WORDS.isdisjoint(own):
+                        part |= not PART_WORDS.isdisjoint(own)
+                        header |= "header" in own
             elif name == "role":
-                part |= value.strip() in PART_ROLES
+                part |= value.strip().lower() in PART_ROLES
             elif name == "style":
-                part |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))
+                part |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
             else:
-                part |= name == "hidden" or value == "true"
-        known = (".".join([tag, *sorted(set(words))]), part)
+                part |= name == "hidden" or value.lower() == "true"
+        known = (".".join([tag, *sorted(set(words))]), part, header)
         if len(self.styles) < 50_000:
             self.styles[(tag, attributes)] = known
         return known
@@ -96,6 +102,7 @@ class Reader:
     def read(self, page: str) -> tuple[list[Element], list[tuple[int, str]]]:
         """Elements in page order (0 is the root) and blocks (element, text): white space collapsed, none empty."""
         root = Element("", "", -1, 0, False, False)
+        opened: dict[str, int] = {}
         elements, stack, blocks = [root], [0], []
         pieces: list[str] = []
         owner = 0  # the block element whose text is being gathered
@@ -107,6 +114,12 @@ class Reader:
                 if text:
                     blocks.append((owner, text))
 
+        def leave(k: int) -> None:
+            """Close the k-th open element and all within it."""
+            for number in stack[k:]:
+                opened[elements[number].tag] -= 1
+            del stack[k:]
+
         def block_owner() -> int:
             for k in reversed(stack):
                 if elements[k].tag not in INLINE:
@@ -142,9 +155,10 @@ class Reader:
             if close:
                 if tag not in INLINE:
                     flush()
-                for k in range(len(stack) - 1, 0, -1):
+                # Without an open element of this name there is nothing to look for.
+                for k in range(len(stack) - 1, 0, -1) if opened.get(tag) else ():
                     if elements[stack[k]].tag == tag:
-                        del stack[k:]
+                        leave(k)
                         break
                     if tag in INLINE and elements[stack[k]].tag not in INLINE:
                         break
@@ -157,23 +171,24 @@ class Reader:
                 for k in range(len(stack) - 1, 0, -1):
                     other = elements[stack[k]].tag
                     if other in CLOSES and tag in CLOSES[other]:
-                        del stack[k:]
+                        leave(k)
                         break
                     if other not in INLINE and (other in SCOPE or other in CLOSES):
                         break
             elif tag in VOID:
                 continue
-            style, part = self.style(tag, attributes)
+            style, part, header = self.style(tag, attributes)
             above = elements[stack[-1]]
             main = tag in ("article", "main") and not part
-            if tag == "header":
-                part = part or not above.main
+            # The header of an article holds its title; any other is the site's.
+            part = part or header and not (above.main or main)
             element = Element(tag, style, stack[-1], self.path(above.path, style), part or above.part, main or above.main)
             if tag not in INLINE:
                 above.children.append(style)
             if tag == "a":
                 element.links = 1
             stack.append(len(elements))
+            opened[tag] = opened.get(tag, 0) + 1
             elements.append(element)
         if at < len(page):
             add_text(page[at:])
