@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.tables import bounded_rows
+from tripmart.llm.tables import bounded_rows, stored
 from tripmart.llm.textops import SPACE, Words, slices
 
 CLASSES = 8
@@ -130,7 +130,7 @@ def learn(docs: DataFrame, labels: DataFrame, params: QualityKnn = QualityKnn())
         else:
             frequency[row["feature"]] = row["docs"]
     known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max((F.col("quality") > 0).cast("int")).alias("good"))
-    ids = docs.select("doc_id").join(known, "doc_id")
+    ids = stored(docs.select("doc_id").join(known, "doc_id"), "labelled")
     chosen = bounded_rows(ids.where("good = 0"), "doc_id", params.neighbours_from // 2).unionByName(bounded_rows(ids.where("good = 1"), "doc_id", params.neighbours_from // 2))
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
 
