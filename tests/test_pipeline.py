@@ -234,3 +234,14 @@ def test_arrivals_reprocess_only_touched_months(spark, write_raw, zone_file, tmp
     )
     replace_months(trips, read_zone_file(spark, zone_file), batch, NOW)
     assert content(batch.staging().drop("ingested_at")) == content(staged.drop("ingested_at"))
+
+
+def test_uniqueness_is_exact_when_keys_collide(spark, monkeypatch):
+    from tripmart.operators import checks
+
+    names = spark.createDataFrame([("a",), ("b",), ("a",), (None,), (None,), ("c",), ("b",)], "name string")
+    check = Check("names", "name", "unique")
+    assert run_checks({"names": names}, [check]).first().violations == 2
+    for key in (lambda column: F.lit(1).cast("bigint"), lambda column: F.length(column).cast("bigint")):
+        monkeypatch.setattr(checks, "unique_key", key)
+        assert run_checks({"names": names}, [check]).first().violations == 2
