@@ -30,8 +30,8 @@ INSULTS = (
     "dumm idioten dummkopf trottel arschloch abschaum versager widerlich dreckig hurensohn"
 ).split()
 SECOND_PERSON = "you your youre u ur tu vous toi vos usted ustedes vosotros te du dich dir ihr euch".split()
-VOTERS = ("insult", "insults", "disguised", "shouting", "exclaiming", "addressed", "words_a", "words_b", "beginnings", "marked_twice")
-BEGINNINGS = (4, 6)  # bytes of a longer word
+VOTERS = ("insult", "insults", "disguised", "shouting", "exclaiming", "addressed", "words_a", "words_b", "beginnings", "marked_twice", "begun_twice", "begun_often")
+BEGINNINGS = (4, 5, 6, 7)  # bytes of a longer word
 _LEET = np.arange(256, dtype=np.uint8)
 for _from, _to in zip(b"013457@$", b"oieastas"):
     _LEET[_from] = _to
@@ -64,15 +64,16 @@ class TextWords:
         self.words = Words(data, offsets, SEPARATORS)
         self.hashes = self.words.hashes(lower=True)
         self.row = self.words.row
-        owners, values = [], []
+        owners, values, numbers = [], [], []
         for size in BEGINNINGS:
             long = np.flatnonzero(self.words.end - self.words.begin > size)
             head = data[self.words.begin[long][:, None] + np.arange(size)].astype(np.uint64)
             head |= np.uint64(0x20) * ((head >= 65) & (head <= 90))
             packed = (head << (np.arange(size, dtype=np.uint64) * np.uint64(8))).sum(1, dtype=np.uint64)
             owners.append(self.row[long])
+            numbers.append(long)
             values.append(mix(packed ^ np.uint64(0x1D8E4E27C47D124F * size & (1 << 64) - 1)))
-        self.begin_row, self.begin_hashes = np.concatenate(owners), np.concatenate(values)
+        self.begin_row, self.begin_hashes, self.begin_word = np.concatenate(owners), np.concatenate(values), np.concatenate(numbers)
 
     def features(self) -> tuple[np.ndarray, np.ndarray]:
         """(row, hash) of all words and beginnings, with repeats."""
@@ -139,6 +140,7 @@ class Voters:
             np.cumsum(flags, out=total[k, 1:])
         ups, lows, _, bangs = np.diff(total[:, offsets], axis=1)
         half = (text.hashes >> np.uint64(40)) & np.uint64(1) == 1
+        begun = np.bincount(text.row[np.unique(text.begin_word[toxic_begin])], minlength=rows)
         votes = [
             per_row(insult) > 0,
             per_row(insult) > 1,
@@ -148,8 +150,10 @@ class Voters:
             per_row(near) > 0,
             per_row(toxic_word & half) > 0,
             per_row(toxic_word & ~half) > 0,
-            np.bincount(text.begin_row[toxic_begin], minlength=rows) > 0,
+            begun > 0,
             per_row(toxic_word) > 1,
+            begun > 1,
+            begun > 3,
         ]
         bits = sum(np.asarray(vote, np.int64) << k for k, vote in enumerate(votes))
         owner = np.concatenate([text.row[word_mark >= 0], text.begin_row[begin_mark >= 0]])
