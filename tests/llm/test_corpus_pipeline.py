@@ -67,7 +67,7 @@ def test_stages_against_brute_force(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql_gives_the_same_rows(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     frame = QUERIES[name](spark, SF)
     cursor = connection.execute(ORACLE[name])

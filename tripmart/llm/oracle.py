@@ -43,7 +43,35 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
 FROM payload p LEFT JOIN first f USING (payload_digest)
 """
 
+# Words between white space and ASCII punctuation; an item's windows around the shingles it shares with a text.
+SPLIT = "'[\\x09-\\x0D\\x20-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7E]+'"
+LEAKS = f"""
+WITH texts AS (SELECT doc_id, list_filter(regexp_split_to_array({LOWERED}, {SPLIT}), lambda x: x <> '') AS ws FROM documents),
+items AS (SELECT *, len(ws) AS n, least(5, len(ws)) AS size
+          FROM (SELECT item_id, list_filter(regexp_split_to_array({LOWERED}, {SPLIT}), lambda x: x <> '') AS ws FROM benchmark)
+          WHERE len(ws) > 0),
+item_grams AS (SELECT item_id, size, g, count(*) AS c
+               FROM (SELECT item_id, size, array_to_string(ws[k + 1 : k + size], ' ') AS g FROM items, unnest(range(n - size + 1)) AS r(k)) GROUP BY ALL),
+sizes AS (SELECT DISTINCT size FROM items),
+grams AS (SELECT doc_id, size, k AS pos, array_to_string(ws[k + 1 : k + size], ' ') AS g
+          FROM texts, sizes, unnest(range(greatest(len(ws) - size + 1, 0))) AS r(k)),
+anchors AS (SELECT doc_id, item_id, size, pos FROM grams JOIN item_grams USING (size, g)),
+spans AS (SELECT a.*, len(t.ws) - a.size + 1 AS m, i.n - i.size + 1 AS total, least(i.n - i.size + 1, len(t.ws) - a.size + 1) AS spread
+          FROM anchors a JOIN texts t USING (doc_id) JOIN items i USING (item_id)),
+starts AS (SELECT DISTINCT doc_id, item_id, size, spread, total, least(greatest(pos - k, 0), m - spread) AS start
+           FROM spans, unnest(range(spread)) AS r(k)),
+counted AS (SELECT s.doc_id, s.item_id, s.size, spread, total, start, g.g, count(*) AS wc
+            FROM starts s JOIN grams g ON g.doc_id = s.doc_id AND g.size = s.size AND g.pos BETWEEN s.start AND s.start + s.spread - 1 GROUP BY ALL),
+compared AS (SELECT doc_id, item_id, size, spread, total, start, sum(least(wc, coalesce(c, 0))) AS least
+             FROM counted LEFT JOIN item_grams USING (item_id, size, g) GROUP BY ALL),
+ranked AS (SELECT *, least::DOUBLE / (spread + total - least)::DOUBLE AS similarity,
+                  row_number() OVER (PARTITION BY doc_id, item_id ORDER BY least::DOUBLE / (spread + total - least)::DOUBLE DESC, start) AS place
+           FROM compared WHERE 100 * least >= 80 * (spread + total - least))
+SELECT doc_id, item_id, similarity, start AS first_word, spread + size - 1 AS n_words FROM ranked WHERE place = 1
+"""
+
 ORACLE: dict[str, str] = {
+    "op2_benchmark_decontamination": LEAKS,
     "op3_minhash_near_dedup": NEAR_DEDUP,
     "op9_line_dedup": LINE_DEDUP,
     "op10_warc": WARC,
