@@ -4,7 +4,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from conftest import SF_DIR
+from trip_data import SF_DIR
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tools.compare import rows_of

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta, timezone
 
 import duckdb
 import pytest
-from conftest import START, ZONE_IDS, trip
+from trip_data import START, ZONE_IDS, trip
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window

@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import START, trip
+from trip_data import START, trip
 from pyspark.sql import functions as F
 
 from tripmart.config import Month, Rules

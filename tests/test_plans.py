@@ -3,7 +3,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import SF_DIR
+from trip_data import SF_DIR
 
 from tripmart.catalog.queries import QUERIES
 from tripmart.catalog.store import driver_relations, driver_warehouse

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
-from conftest import RAW_SCHEMA, ZONE_IDS, trip
+from trip_data import RAW_SCHEMA, ZONE_IDS, trip
 
 from tripmart.config import Month
 from tripmart.errors import InvalidRequest, ZoneLookupError
