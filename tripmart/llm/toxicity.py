@@ -45,6 +45,7 @@ class Toxicity:
     marking_ratio: float = 4.0
     marking_strength: float = 4.0
     sample_rows: int = 30_000
+    labelled_rows: int = 40_000
     em_steps: int = 30
     fit_steps: int = 400
     ridge: float = 1e-3
@@ -227,12 +228,14 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def unlike_rows(seen: DataFrame) -> DataFrame:
     """(label, text) of labelled rows (doc_id, label, text), one of each group of like texts as far as two MinHash values tell.
 
+    The rows given are a bounded sample, so the ids left of them are broadcast.
+
     Copies would otherwise make every word of a much copied text look like a mark of its label.
     """
     sketches = seen.mapInArrow(_sketch_rows, "doc_id long, label int, one long, two long")
     once = sketches.groupBy("label", "one").agg(F.min(F.struct("doc_id", "two")).alias("row")).select("label", "row.*")
     ids = stored(once.groupBy("label", "two").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "unlike")
-    return seen.join(ids, "doc_id").select("label", "text")
+    return seen.join(F.broadcast(ids), "doc_id").select("label", "text")
 
 
 def _bucket_rows(params: Toxicity):
@@ -340,10 +343,18 @@ class ToxicityModel:
 
 
 def learn(docs: DataFrame, labels: DataFrame, params: Toxicity = Toxicity()) -> ToxicityModel | None:
-    """A model from docs (text, doc_id) and labels (doc_id, toxic); pass only rows that may be learned from. None without documents."""
+    """A model from docs (text, doc_id) and labels (doc_id, toxic); pass only rows that may be learned from. None without documents.
+
+    At most half of `labelled_rows` labels of each kind are used, chosen by a hash of the id. They are broadcast, so no text moves;
+    the label model counts the vote patterns of all documents, those beyond the bound without their label. An id
+    labelled twice is toxic if any label says so.
+    """
     spark = docs.sparkSession
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("label"))
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null").join(known, "doc_id", "left")
+    known = stored(known, "labels")
+    halves = [bounded_rows(known.where(f"label = {k}"), "doc_id", params.labelled_rows // 2) for k in (0, 1)]
+    chosen = F.broadcast(stored(halves[0].unionByName(halves[1]), "labelled"))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null").join(chosen, "doc_id", "left")
     seen = unlike_rows(rows.where("label is not null").select("doc_id", "label", "text"))
     size = {row["label"]: row["count"] for row in seen.groupBy("label").count().collect()}
     marking, toxic_side = marking_words(seen, size, params) if size.get(1) and size.get(0) else (np.zeros(0, np.uint64), np.zeros(0, bool))
