@@ -49,6 +49,17 @@ def test_toxic_words_are_learned(spark, docs_of):
     assert found[1] > 0.5 and found[2] < 0.5 and found[3] == found[4] < 0.5 and 0 <= found[None] <= 1
 
 
+def test_toxicity_targets_are_posteriors_whatever_is_labelled(spark, docs_of, monkeypatch):
+    draw = random.Random(3)
+    rows = [(k, prose(draw) + (" you grumblefark " + prose(draw, 10) if k % 4 == 0 else "")) for k in range(200)]
+    labels = spark.createDataFrame([(k, 1, int(k % 4 == 0 or k % 50 == 1)) for k in range(150)], LABELS)
+    fit, seen = toxicity.fit_linear, []
+    monkeypatch.setattr(toxicity, "fit_linear", lambda rows, target, *rest: seen.append(target) or fit(rows, target, *rest))
+    model = toxicity.learn(docs_of(rows), labels)
+    possible = model.label_model.posterior(np.arange(1 << len(toxicity.VOTERS)))
+    assert len(seen[0]) == 200 and np.isin(seen[0], possible).all()
+
+
 def test_label_model_discounts_correlated_voters():
     params = toxicity.Toxicity()
     rows = [(0b11, 1, 90), (0b00, 1, 10), (0b00, 0, 880), (0b11, 0, 20)]

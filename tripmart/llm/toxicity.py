@@ -4,7 +4,8 @@ Voters are word lists and patterns: fixed insults, the same in digits-for-letter
 runs of exclamation marks, and words and word beginnings that mark the toxic rows among the labelled ones. The label model estimates by EM
 each voter's accuracy in both classes and the correlations of voters within a class; correlated voters share their
 weight. It works on counts of vote patterns (at most 2**voters rows), so it sees all documents at any scale; labelled rows enter with
-their label known. A logistic regression on marking words, beginnings and votes is then fitted to the posteriors of a bounded sample.
+their label known. A logistic regression on marking words, beginnings and votes is then fitted to the
+posteriors of a bounded sample, labelled rows like all others.
 """
 
 from __future__ import annotations
@@ -367,11 +368,10 @@ def learn(docs: DataFrame, labels: DataFrame, params: Toxicity = Toxicity()) ->
         return None
     model = LabelModel(sorted(patterns), params)
     sample = []
-    for part in ("label = 1 or (label < 0 and bits > 0)", "not (label = 1 or (label < 0 and bits > 0))"):
+    for part in ("bits > 0", "bits = 0"):
         sample += bounded_rows(voted.where(part), "doc_id", params.sample_rows // 2).collect()
     bits = np.array([row["bits"] for row in sample], np.int64)
-    label = np.array([row["label"] for row in sample], np.int64)
-    target = np.where(label >= 0, 0.98 * label + 0.01, model.posterior(bits))
+    target = model.posterior(bits)
     marks, features = len(marking), []
     for row, own in zip(sample, bits.tolist()):
         votes = [marks + k for k in range(len(VOTERS)) if own >> k & 1]
