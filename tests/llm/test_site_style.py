@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import random
+
 from tripmart.llm.page_tree import Reader
-from tripmart.llm.site_style import SiteStyle, extract_main_text, main_text
+from tripmart.llm.site_style import SiteStyle, extract_main_text, importances, main_text
 
 PAGES = "page_id long, url string, html string, host string, low string"
 
@@ -53,6 +55,33 @@ def test_branches_that_a_site_repeats_go(spark):
     assert few[3] == "Welcome to the site Story 3 begins and ends 3 Call us"
 
 
+def test_blocks_on_a_small_share_of_a_host_go(spark):
+    page = "<div class=body><p>Story {k} begins</p></div>{box}"
+    rows = [(k, f"http://h.example/{k}", page.format(k=k, box="<section class=stripe><div>Read all of it</div></section>" if k < 9 else "")) for k in range(30)]
+    rows += [(100 + k, f"http://large.example/{k}", page.format(k=k, box="<section class=stripe>Read on</section>" if k < 9 else "")) for k in range(1000)]
+    found = {r.page_id: r.text for r in extract_main_text(pages_of(spark, rows)).collect()}
+    assert found == {k: f"Story {k if k < 100 else k - 100} begins" for k in found} and len(found) == 1030
+
+
+def test_importances_are_those_of_the_recursion(spark):
+    draw = random.Random(7)
+    value = lambda: draw.choice([None, draw.random()])
+    nodes = {k: (draw.randrange(max(1, k - 3), k) if k > 1 else 0, value(), value()) for k in range(1, 60)}
+    nodes[90] = (77, value(), value())  # the parent is no node
+
+    def importance(path):
+        _, shape, text = nodes[path]
+        below = [importance(k) for k, (parent, *_) in nodes.items() if parent == path]
+        if not below:
+            return next(x for x in (text, shape, 1.0) if x is not None)
+        inner = max(x for x in (*below, text) if x is not None)
+        return inner if shape is None else 0.9 * inner + 0.1 * shape
+
+    rows = [(host, 0, 0, 0.5, None) for host in "ab"] + [(host, path, *node) for host in "ab" for path, node in nodes.items()]
+    found = importances(spark.createDataFrame(rows, "host string, path long, parent long, shape double, text double"), SiteStyle()).collect()
+    assert len(found) == 2 * len(nodes) and all(abs(r.importance - importance(r.path)) < 1e-9 for r in found)
+
+
 def test_copies_do_not_remove_articles(spark):
     rows = [(k, "http://h.example/", f"<article><h1>Head {k // 30}</h1><p>Same text {k if k > 59 else k // 30}</p></article>") for k in range(120)]
     found = {r.page_id: r.text for r in extract_main_text(pages_of(spark, rows)).collect()}

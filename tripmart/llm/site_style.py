@@ -8,8 +8,8 @@ elements where there are any) that are in no branch of low importance and in non
 menus, headers, footers, sidebars, notices, adverts, forms and comments, told by element, role or class, and lists of links.
 
 Merging is one aggregation by (host, path, feature), combined before the shuffle; a host with many pages is spread by
-its paths and features. Only nodes on at least one in `1 / support` of a host's pages are kept, which bounds a host's tree by
-its mean number of nodes a page divided by `support`.
+its paths and features. Nodes on at least `node_pages` pages are judged, however many pages the host has; importances are folded by joins
+on (host, path), so no task holds a host's tree.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ NODE, SHAPE, TEXT = 0, 1, 2
 
 @dataclass(frozen=True)
 class SiteStyle:
-    support: float = 0.01
     min_pages: int = 10
+    node_pages: int = 3
     least_importance: float = 0.2
     own_weight: float = 0.1
     link_share: float = 0.8
@@ -92,48 +92,42 @@ def style_nodes(pages: DataFrame, params: SiteStyle) -> DataFrame:
         nodes.select("host", "path", "parent", "pages", F.when(F.col("shapes") > 0, shape).alias("shape"), F.when(F.col("texts") > 0, text).alias("text")), "style_nodes"
     )
     hosts = nodes.where("path = 0").select("host", F.col("pages").alias("total"))
-    return nodes.join(hosts, "host").where(F.col("pages") >= F.greatest(F.lit(float(params.min_pages)), params.support * F.col("total"))).drop("total")
-
-
-def unimportant(nodes: list[tuple[int, int, float | None, float | None]], params: SiteStyle) -> list[int]:
-    """Paths of the branches of low importance, from (path, parent, shape, text) of one host."""
-    children: dict[int, list[int]] = {}
-    own = {}
-    for path, parent, shape, text in nodes:
-        own[path] = (shape, text)
-        if path != 0:
-            children.setdefault(parent, []).append(path)
-    order, stack = [], [path for path, parent, _, _ in nodes if path == 0 or parent not in own]
-    while stack:
-        path = stack.pop()
-        order.append(path)
-        stack += children.get(path, ())
-    importance: dict[int, float] = {}
-    for path in reversed(order):
-        shape, text = own[path]
-        below = [importance[child] for child in children.get(path, ())]
-        if below:
-            weight = params.own_weight
-            inner = max(below) if text is None else max(*below, text)
-            importance[path] = inner if shape is None else (1 - weight) * inner + weight * shape
-        else:
-            importance[path] = 1.0 if text is None and shape is None else max(x for x in (text, shape if text is None else None) if x is not None)
-    return sorted(path for path in order if path != 0 and importance[path] < params.least_importance)
-
-
-def _unimportant_rows(params: SiteStyle):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [unimportant([(x["path"], x["parent"], x["shape"], x["text"]) for x in nodes], params) for nodes in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["host", "low"])
+    return nodes.where(F.col("pages") >= params.node_pages).join(hosts.where(F.col("total") >= params.min_pages), "host").drop("total")
 
-    return rows
+
+def importances(nodes: DataFrame, params: SiteStyle) -> DataFrame:
+    """(host, path, parent, importance) of all nodes but the root, from (host, path, parent, shape, text).
+
+    A node's importance is its best text or child, weighed against its own shape: the greatest of one increasing linear function for each
+    node below it. Links to ancestors double in length each round, so a tree takes log2(depth) rounds however many nodes a host has.
+    """
+    own = nodes.where("path <> 0")
+    weight = params.own_weight
+    above = own.select("host", F.col("path").alias("parent"), F.col("path").alias("jump"), F.when(F.col("shape").isNull(), 1.0).otherwise(1 - weight).alias("slope"), F.coalesce(weight * F.col("shape"), F.lit(0.0)).alias("shift"))
+    inner = own.select("host", F.col("parent").alias("path"), F.lit(True).alias("inner")).distinct()
+    text = F.coalesce((1 - weight) * F.col("text") + weight * F.col("shape"), "text")
+    best = F.when(F.col("inner"), text).otherwise(F.coalesce("text", "shape", F.lit(1.0)))
+    state = own.join(inner, ["host", "path"], "left").join(above, ["host", "parent"], "left").select("host", "path", "parent", best.alias("best"), "jump", "slope", "shift")
+    state = stored(state, "importance")
+    while not state.where("jump is not null").isEmpty():
+        gained = state.where("jump is not null").groupBy("host", F.col("jump").alias("path")).agg(F.max(F.col("slope") * F.col("best") + F.col("shift")).alias("gain"))
+        ahead = state.select("host", F.col("path").alias("jump"), F.col("jump").alias("next"), F.col("slope").alias("slope2"), F.col("shift").alias("shift2"))
+        further = state.join(gained, ["host", "path"], "left").join(ahead, ["host", "jump"], "left")
+        state = stored(
+            further.select(
+                "host", "path", "parent", F.greatest("best", "gain").alias("best"), F.col("next").alias("jump"),
+                (F.col("slope") * F.col("slope2")).alias("slope"), (F.col("shift") * F.col("slope2") + F.col("shift2")).alias("shift"),
+            ),
+            "importance",
+        )
+    return state.select("host", "path", "parent", F.col("best").alias("importance"))
 
 
 def low_branches(pages: DataFrame, params: SiteStyle) -> DataFrame:
-    """(host, low): style paths of low importance, for hosts that have any."""
-    trees = style_nodes(pages, params).groupBy("host").agg(F.collect_list(F.struct("path", "parent", "shape", "text")).alias("nodes"))
-    return trees.mapInArrow(_unimportant_rows(params), "host string, low array<long>").where("size(low) > 0")
+    """(host, low): style paths of the topmost nodes of low importance, for hosts that have any."""
+    low = importances(style_nodes(pages, params), params).where(F.col("importance") < params.least_importance)
+    top = low.join(low.select("host", F.col("path").alias("parent")), ["host", "parent"], "left_anti")
+    return top.groupBy("host").agg(F.collect_list("path").alias("low"))
 
 
 def main_text(elements: list[Element], blocks: list[tuple[int, str]], low: frozenset[int], params: SiteStyle) -> str:
