@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from tripmart.llm.language import LanguageId, identify, learn, viterbi
 
@@ -60,3 +61,11 @@ def test_no_model(docs_of):
     assert learn(docs_of([(1, "words")]), LanguageId()) is None
     (row,) = identify(docs_of([(1, "words")]), None).collect()
     assert (row.lang_pred, row.score) == ("und", 0)
+
+
+def test_no_language_is_left_out(spark, docs_of):
+    draw = random.Random(5)
+    docs = docs_of([(k, sentence(lang, draw), lang) for k, lang in enumerate(["aa", "aa", "bb", "cc"])])
+    assert learn(docs, LanguageId(most_languages=3)).languages == ["aa", "bb", "cc"]
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        learn(docs, LanguageId(most_languages=2))

@@ -210,16 +210,17 @@ def _count_rows(languages: list[str], params: LanguageId):
 
 
 def learn(docs: DataFrame, params: LanguageId = LanguageId(), text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """A model from all rows with text and language; None without any. At most `most_languages` of the most frequent are learned.
+    """A model from all rows with text and language; None without any. More than `most_languages` languages are an error: none is left out.
 
     The counts that reach the driver are bounded: one number for each language and slot.
     """
     known = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang is not null and text is not null")
-    found = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(params.most_languages).collect()
-    languages = sorted(row["lang"] for row in found)
+    languages = sorted(row["lang"] for row in known.select("lang").distinct().limit(params.most_languages + 1).collect())
+    if len(languages) > params.most_languages:
+        raise ValueError(f"more than {params.most_languages} languages to learn")
     if not languages:
         return None
-    counts = known.where(F.col("lang").isin(languages)).mapInArrow(_count_rows(languages, params), "language long, slot long, n long")
+    counts = known.mapInArrow(_count_rows(languages, params), "language long, slot long, n long")
     table = np.zeros((params.grams + len(SCRIPTS), len(languages)))
     for row in counts.groupBy("language", "slot").agg(F.sum("n").alias("n")).toLocalIterator():
         table[row["slot"], row["language"]] = row["n"]
