@@ -2,7 +2,7 @@
 
 A text is a vector of counts: classes of three neighbouring characters (letters by case, digits, white space, marks,
 symbols, other scripts), hashed words, and words that repeat one shortly before. Counts are damped and weighted by inverse document frequency over all
-documents; a truncated singular value decomposition of a bounded labelled sample gives the latent space. The sample's
+documents given to `learn` (the query gives those that are not held out); a truncated singular value decomposition of a bounded labelled sample gives the latent space. The sample's
 latent vectors (at most `neighbours_from` rows of `rank` numbers) are broadcast. Every document's cosines with all of them are
 computed exactly, in blocks, and its `k` nearest vote with their similarity as weight.
 """

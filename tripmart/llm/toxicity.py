@@ -3,7 +3,8 @@
 Voters are word lists and patterns: fixed insults, the same in digits-for-letters spelling, insults next to a second-person word, shouting,
 runs of exclamation marks, and words and word beginnings that mark the toxic rows among the labelled ones. The label model estimates by EM
 each voter's accuracy in both classes and the correlations of voters within a class; correlated voters share their
-weight. It works on counts of vote patterns (at most 2**voters rows), so it sees all documents at any scale; labelled rows enter with
+weight. It works on counts of vote patterns (at most 2**voters rows), so it sees all documents given to `learn` at any scale (the query
+gives those that are not held out); labelled rows enter with
 their label known. A logistic regression on marking words, beginnings and votes is then fitted to the
 posteriors of a bounded sample, labelled rows like all others.
 """
