@@ -13,6 +13,7 @@ from tripmart.llm.decontaminate import Decontaminate, leaks
 from tripmart.llm.language import LanguageId, identify, learn
 from tripmart.llm.line_dedup import LineDedup, drop_boilerplate
 from tripmart.llm.near_dedup import NearDedup, near_duplicates
+from tripmart.llm.periodic_runs import PeriodicRuns, periodic_runs
 from tripmart.llm.quality_rules import QualityRules, quality_verdicts
 from tripmart.llm.site_style import SiteStyle, extract_main_text
 from tripmart.llm.tables import held_out, table
@@ -76,6 +77,40 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"), WarcFormat())
 
 
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): texts whose id hashes to a multiple of ten have their tail replaced by repeats of its first words."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[ \\t-\\r]+"), lambda word: word != "")
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("hash"))
+    rows = rows.select("doc_id", "text", F.floor(F.col("hash") / 10).alias("g"), F.when(F.col("hash") % 10 == 0, words).alias("words"))
+    n = F.size("words")
+    at = F.col("g") % n
+    period = (1 + F.floor((n - at) / (3 + F.col("g") % 8))).cast("int")
+    tail = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("words", F.when(i < at, i).otherwise(at + (i - at) % period).cast("int")))
+    return rows.select("doc_id", F.when(n > 0, F.array_join(tail, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(repeated_tails(table(spark, sf_dir, "documents")), PeriodicRuns())
+    # The greatest exact quotient of two longs: compare l1 * p2 with l2 * p1, then start and period.
+    whole = lambda value: value.cast("decimal(19,0)")
+
+    def better(best, run):
+        one, other = whole(run["length"]) * whole(best["period"]), whole(best["length"]) * whole(run["period"])
+        return F.when(best.isNull() | (one > other), run).otherwise(best)
+
+    best = F.aggregate("runs", F.expr("cast(null as struct<start: long, length: long, period: long>)"), better)
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    rows = found.select(F.col("key").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), best.alias("best"), lines.alias("lines"), "collapsed")
+    return rows.select(
+        "doc_id",
+        "n_runs",
+        *(f"best.{name}" for name in ("start", "length", "period")),
+        F.expr("(1000 * cast(best.length as decimal(19,0))) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join("lines", "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -87,4 +122,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_warc": op10_warc,
+    "op13_periodic_runs": op13_periodic_runs,
 }
