@@ -17,6 +17,7 @@ from tripmart.llm.periodic_runs import PeriodicRuns, periodic_runs
 from tripmart.llm.quality_rules import QualityRules, quality_verdicts
 from tripmart.llm.site_style import SiteStyle, extract_main_text
 from tripmart.llm.tables import held_out, table
+from tripmart.llm.vantage_trees import VpSearch, build, search
 from tripmart.llm.warc import WarcFormat, round_trip
 
 
@@ -77,6 +78,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"), WarcFormat())
 
 
+def op12_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(build(vectors, VpSearch()), vectors.where("vec_id % 20 = 0"), VpSearch())
+
+
 def repeated_tails(docs: DataFrame) -> DataFrame:
     """(doc_id, text): texts whose id hashes to a multiple of ten have their tail replaced by repeats of its first words."""
     words = F.filter(F.split(F.coalesce("text", F.lit("")), "[ \\t-\\r]+"), lambda word: word != "")
@@ -122,5 +128,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_warc": op10_warc,
+    "op12_vantage_trees": op12_vantage_trees,
     "op13_periodic_runs": op13_periodic_runs,
 }
