@@ -70,9 +70,36 @@ ranked AS (SELECT *, least::DOUBLE / (spread + total - least)::DOUBLE AS similar
 SELECT doc_id, item_id, similarity, start AS first_word, spread + size - 1 AS n_words FROM ranked WHERE place = 1
 """
 
+def _cut_out(source: str, columns: str, size: int) -> str:
+    """Every run of `size` words of the lists `ws` of a relation."""
+    phrase = " || ' ' || ".join(f"ws[k + {i}]" for i in range(size))
+    return f"SELECT {columns}, {phrase} AS phrase FROM (SELECT {columns}, ws, unnest(range(1, len(ws) - {size - 2})) AS k FROM {source} WHERE len(ws) >= {size})"
+
+
+GRAMS = " UNION ALL ".join(f"SELECT lang, {size} AS size, phrase, count(*) AS f FROM ({_cut_out('pieces', 'lang', size)}) GROUP BY ALL" for size in (1, 2, 3, 4))
+INSIDE = " UNION ALL ".join(_cut_out(f"(SELECT * FROM candidates WHERE size > {size})", "lang, a", size) for size in (2, 3))
+COLLOCATIONS = f"""
+WITH pieces AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws
+                FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+grams AS ({GRAMS}),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM grams WHERE size > 1 AND f >= 30),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(ws[1 : k], ' ') AS one, array_to_string(ws[k + 1 :], ' ') AS other
+         FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)),
+scored AS (SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, CAST(2000000 AS HUGEINT) * c.a // (CAST(x.f AS HUGEINT) + y.f) AS score
+           FROM cuts c JOIN grams x ON x.lang = c.lang AND x.phrase = c.one JOIN grams y ON y.lang = c.lang AND y.phrase = c.other),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, phrase, max(a) AS most FROM ({INSIDE}) GROUP BY ALL),
+ranked AS (SELECT s.lang, s.phrase, a, l, r, score, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+           FROM lowest s LEFT JOIN longer g ON g.lang = s.lang AND g.phrase = s.phrase
+           WHERE most IS NULL OR CAST(100 AS HUGEINT) * most < CAST(80 AS HUGEINT) * a)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op2_benchmark_decontamination": LEAKS,
     "op3_minhash_near_dedup": NEAR_DEDUP,
     "op9_line_dedup": LINE_DEDUP,
     "op10_warc": WARC,
+    "op11_collocations": COLLOCATIONS,
 }

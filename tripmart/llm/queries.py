@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm import quality_knn, toxicity
 from tripmart.llm.bpe import token_digests
+from tripmart.llm.collocations import Collocations, collocations
 from tripmart.llm.decontaminate import Decontaminate, leaks
 from tripmart.llm.language import LanguageId, identify, learn
 from tripmart.llm.line_dedup import LineDedup, drop_boilerplate
@@ -78,6 +79,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"), WarcFormat())
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), Collocations())
+
+
 def op12_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return search(build(vectors, VpSearch()), vectors.where("vec_id % 20 = 0"), VpSearch())
@@ -128,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_warc": op10_warc,
+    "op11_collocations": op11_collocations,
     "op12_vantage_trees": op12_vantage_trees,
     "op13_periodic_runs": op13_periodic_runs,
 }
