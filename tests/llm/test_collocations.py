@@ -25,7 +25,7 @@ def grams(rows, most):
     for lang, text in rows:
         for words in pieces_of(text):
             for size in range(1, most + 1):
-                found.update((lang or "und", " ".join(words[k : k + size])) for k in range(len(words) - size + 1))
+                found.update(("und" if lang is None else lang, " ".join(words[k : k + size])) for k in range(len(words) - size + 1))
     return found
 
 

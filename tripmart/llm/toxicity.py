@@ -11,11 +11,13 @@ posteriors of a bounded sample, labelled rows like all others.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,10 +90,16 @@ class HashSet:
 
     def __init__(self, values: np.ndarray):
         self.values = values
-        self.mark = np.zeros(1 << 20, bool)
-        self.mark[values >> np.uint64(44)] = True
+        self.mark: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        # Every task of a job keeps a copy of what is broadcast on disk, so only the values travel.
+        return {"values": self.values, "mark": None}
 
     def place(self, hashes: np.ndarray) -> np.ndarray:
+        if self.mark is None:
+            self.mark = np.zeros(1 << 20, bool)
+            self.mark[self.values >> np.uint64(44)] = True
         found = np.full(len(hashes), -1, np.int64)
         maybe = np.flatnonzero(self.mark[hashes >> np.uint64(44)])
         at = np.searchsorted(self.values, hashes[maybe])
@@ -197,14 +205,15 @@ class LabelModel:
         return 1 / (1 + np.exp(-logit))
 
 
-def fit_linear(rows: list[np.ndarray], target: np.ndarray, n: int, params: Toxicity) -> np.ndarray:
-    """Weights of a logistic regression over sparse 0/1 features, by Adam on the whole sample."""
+def fit_linear(rows: list[np.ndarray], target: np.ndarray, stands_for: np.ndarray, n: int, params: Toxicity) -> np.ndarray:
+    """Weights of a logistic regression over sparse 0/1 features, by Adam on the whole sample; each row counts as many times as rows it stands for."""
+    share = stands_for / stands_for.sum()
     owner = np.repeat(np.arange(len(rows)), [len(row) for row in rows])
     column = np.concatenate(rows)
     weights, mean, square = np.zeros(n), np.zeros(n), np.zeros(n)
     for step in range(1, params.fit_steps + 1):
         logit = np.bincount(owner, weights[column], len(rows))
-        error = (1 / (1 + np.exp(-logit)) - target) / len(rows)
+        error = (1 / (1 + np.exp(-logit)) - target) * share
         gradient = np.bincount(column, error[owner], n) + params.ridge / len(rows) * weights
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient**2
@@ -213,14 +222,18 @@ def fit_linear(rows: list[np.ndarray], target: np.ndarray, n: int, params: Toxic
 
 
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, label, text) to (doc_id, label, one, two): two MinHash values of the text's three-word shingles."""
+    """(doc_id, label, text) to (doc_id, label, one, two): two MinHash values of the text's three-word shingles, or of a shorter text as a whole."""
     for batch in batches:
         for first, last, data, offsets in slices(batch.column(2)):
             words = Words(data, offsets, SEPARATORS)
-            value, at = windows(words.hashes(lower=True), words.row, 3)
+            hashes = words.hashes(lower=True)
+            value, at = windows(hashes, words.row, 3)
             row = words.row[at]
             own, begin = np.unique(row, return_index=True)
             least = np.zeros((2, last - first), np.int64)
+            count = np.diff(words.first)
+            short = np.flatnonzero((count > 0) & (count < 3))
+            least[:, short] = mix(mix(hashes[words.first[short]]) ^ hashes[words.first[short + 1] - 1] ^ count[short].astype(np.uint64)).view(np.int64)
             for k in (0, 1):
                 if len(own):
                     least[k, own] = np.minimum.reduceat(mix(value ^ np.uint64(k + 1)), begin).view(np.int64)
@@ -228,15 +241,14 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def unlike_rows(seen: DataFrame) -> DataFrame:
-    """(label, text) of labelled rows (doc_id, label, text), one of each group of like texts as far as two MinHash values tell.
+    """(label, text) of labelled rows (doc_id, label, text), one of each group of like texts, those that agree in two MinHash values.
 
     The rows given are a bounded sample, so the ids left of them are broadcast.
 
     Copies would otherwise make every word of a much copied text look like a mark of its label.
     """
     sketches = seen.mapInArrow(_sketch_rows, "doc_id long, label int, one long, two long")
-    once = sketches.groupBy("label", "one").agg(F.min(F.struct("doc_id", "two")).alias("row")).select("label", "row.*")
-    ids = stored(once.groupBy("label", "two").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "unlike")
+    ids = stored(sketches.groupBy("label", "one", "two").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "unlike")
     return seen.join(F.broadcast(ids), "doc_id").select("label", "text")
 
 
@@ -318,7 +330,7 @@ def marking_words(seen: DataFrame, size: dict[int, int], params: Toxicity) -> tu
 
 def _vote_rows(shared):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voters: Voters = shared.value
+        voters: Voters = pickle.loads(shared.value)
         for batch in batches:
             for first, last, data, offsets in slices(batch.column(2)):
                 bits, row, number = voters.look(data, offsets)
@@ -361,23 +373,26 @@ def learn(docs: DataFrame, labels: DataFrame, params: Toxicity = Toxicity()) ->
     size = {row["label"]: row["count"] for row in seen.groupBy("label").count().collect()}
     marking, toxic_side = marking_words(seen, size, params) if size.get(1) and size.get(0) else (np.zeros(0, np.uint64), np.zeros(0, bool))
     voters = Voters(marking, toxic_side, params)
-    shared = spark.sparkContext.broadcast(voters)
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(voters))
     voted = rows.select("doc_id", F.coalesce("label", F.lit(-1)).cast("int").alias("label"), "text")
     voted = stored(voted.mapInArrow(_vote_rows(shared), "doc_id long, label int, bits int, features array<int>"), "votes")
     patterns = [(row["bits"], row["label"], row["count"]) for row in voted.groupBy("bits", "label").count().collect()]
     if not patterns:
         return None
     model = LabelModel(sorted(patterns), params)
-    sample = []
-    for part in ("bits > 0", "bits = 0"):
-        sample += bounded_rows(voted.where(part), "doc_id", params.sample_rows // 2).collect()
+    # Half of the sample has votes and half has none; each row stands for its part of the rows of its half.
+    sample, stands_for = [], []
+    for part, rows_of in (("bits > 0", [n for bits, _, n in patterns if bits]), ("bits = 0", [n for bits, _, n in patterns if not bits])):
+        chosen_rows = bounded_rows(voted.where(part), "doc_id", params.sample_rows // 2).collect()
+        sample += chosen_rows
+        stands_for += [sum(rows_of) / max(len(chosen_rows), 1)] * len(chosen_rows)
     bits = np.array([row["bits"] for row in sample], np.int64)
     target = model.posterior(bits)
     marks, features = len(marking), []
     for row, own in zip(sample, bits.tolist()):
         votes = [marks + k for k in range(len(VOTERS)) if own >> k & 1]
         features.append(np.array([*row["features"], *votes, marks + len(VOTERS)], np.int64))
-    return ToxicityModel(voters, model, fit_linear(features, target, voters.n_features, params))
+    return ToxicityModel(voters, model, fit_linear(features, target, np.array(stands_for), voters.n_features, params))
 
 
 def score(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
@@ -386,12 +401,13 @@ def score(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
     Null and blank texts have no votes and no words, and get the score of the intercept. Without a model every score is 0. Rows are scored
     one by one: repeated rows and null ids need no rule, other columns are ignored, and an empty table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: ToxicityModel | None = pickle.loads(shared.value)
         for batch in batches:
             for first, last, data, offsets in slices(batch.column(1)):
-                found = shared.value.score(data, offsets) if shared.value else np.zeros(last - first)
+                found = model.score(data, offsets) if model else np.zeros(last - first)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(found)], ["doc_id", "score"])
 
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(rows, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
