@@ -29,18 +29,31 @@ def _byte_values(lower: bool) -> np.ndarray:
 
 
 _VALUES = {lower: _byte_values(lower) for lower in (False, True)}
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, grown as needed."""
-    if len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + (1 << 16))
-        for at, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[at] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0], _powers[1]
+class _Powers:
+    """Powers of the base and of its inverse modulo 2**64, grown as needed.
+
+    Functions sent to tasks take what they refer to with them; tables that grew on the driver are left behind.
+    """
+
+    def __init__(self):
+        self.tables = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+    def __reduce__(self):
+        return _Powers, ()
+
+    def upto(self, n: int) -> list[np.ndarray]:
+        if len(self.tables[0]) < n:
+            size = max(n, SLICE_BYTES + (1 << 16))
+            for at, base in enumerate((_BASE, _INVERSE)):
+                steps = np.full(size, base, np.uint64)
+                steps[0] = 1
+                self.tables[at] = np.cumprod(steps, dtype=np.uint64)
+        return self.tables
+
+
+_powers = _Powers()
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -92,7 +105,7 @@ class Words:
         """64-bit hash of every word; with `lower`, A-Z count as a-z."""
         if not len(self.begin):
             return np.zeros(0, np.uint64)
-        power, inverse = _power_tables(len(self.data))
+        power, inverse = _powers.upto(len(self.data))
         values = np.where(self.separators, np.uint64(0), _VALUES[lower])[self.data]
         values *= power[: len(self.data)]
         return mix(np.add.reduceat(values, self.begin) * inverse[self.begin])
