@@ -125,7 +125,7 @@ def test_a_failed_write_leaves_the_old_table(load):
     before = content(warehouse.stored("mart_daily_trip_metrics"))
     broken = warehouse.stored("mart_daily_trip_metrics").withColumn("trip_count", F.raise_error(F.lit("stop")).cast("bigint"))
     with pytest.raises(Exception, match="stop"):
-        warehouse.replace_table("mart_daily_trip_metrics", broken)
+        warehouse.change().replace_table("mart_zone_demand", broken)
     assert content(warehouse.stored("mart_daily_trip_metrics")) == before
     run((JAN, [trip()]))
     assert warehouse.stored("mart_daily_trip_metrics").first().trip_count == 1

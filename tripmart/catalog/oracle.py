@@ -310,6 +310,9 @@ monthly AS (SELECT j.* REPLACE (year(o_orderdate)::INTEGER AS source_year, month
             FROM (SELECT row_number() OVER (ORDER BY source_row_number, stable_record_hash) AS n, * FROM judged) j
             JOIN (SELECT row_number() OVER (ORDER BY source_row_number, stable_record_hash) AS n, o_orderdate
                   FROM hashed) k USING (n))"""
+NEWEST = """,
+newest AS (SELECT year(max(o_orderdate)) AS newest_year, month(max(o_orderdate)) AS newest_month FROM orders)"""
+IN_NEWEST = "source_year = newest_year AND source_month = newest_month"
 BY_QUARTER = (
     "coalesce(quarter(pickup_datetime), quarter(dropoff_datetime), 1)::INTEGER AS source_month"
 )
@@ -536,6 +539,22 @@ ORACLE: dict[str, str] = {
         "judged",
         BY_ORDER_MONTH,
     ),
+    "row_ordinals": """
+        SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey % 10, l_orderkey, l_linenumber) AS ordinal
+        FROM lineitem""",
+    "late_file_parts": sql(
+        "SELECT (year(pickup_datetime) * 100 + month(pickup_datetime))::INTEGER AS period, "
+        f"count(DISTINCT pickup_datetime::DATE) AS days, bool_or({IN_NEWEST}) AS rewritten "
+        "FROM monthly, newest WHERE quality_status <> 'rejected' GROUP BY ALL",
+        "judged",
+        BY_ORDER_MONTH + NEWEST,
+    ),
+    "previous_snapshot": sql(
+        f"SELECT pickup_datetime::DATE AS pickup_date, count(*) AS trip_count, {PASSENGERS}, {_total('total_amount', 'total_revenue')} "
+        f"FROM monthly, newest WHERE quality_status <> 'rejected' AND NOT ({IN_NEWEST} AND source_row_number % 3 = 0) GROUP BY 1",
+        "judged",
+        BY_ORDER_MONTH + NEWEST,
+    ),
     "incremental_ingest": sql(
         f"SELECT * EXCLUDE (source_row_number, source_file) REPLACE ({BY_QUARTER}) FROM staged", "staged"
     ),

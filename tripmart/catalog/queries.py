@@ -8,17 +8,18 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.catalog.store import driver_relations, driver_warehouse, new_folder
+from tripmart.catalog.store import driver_history, driver_relations, driver_warehouse, new_folder
 from tripmart.config import MONTH_COLUMNS
 from tripmart.operators import classify as c
 from tripmart.operators import reports, summary
 from tripmart.operators.checks import run_checks, standard_checks
+from tripmart.operators.ordinals import file_counts, file_offsets, with_global_ordinal
 from tripmart.operators.paging import PageRequest
 from tripmart.operators.profile import profile_columns
 from tripmart.operators.ranking import hot_records, rank_copies, survey_months, with_record_hash
 from tripmart.plans import models, serving
 from tripmart.plans.pipeline import replace_months
-from tripmart.plans.warehouse import Warehouse
+from tripmart.plans.warehouse import Warehouse, period_of
 from tripmart.sources.driver_tables import DRIVER_INGESTED_AT, DRIVER_RULES, driver_trips, driver_zone_lookup
 from tripmart.sources.files import table_files
 from tripmart.sources.schema import CLASSIFIED_SCHEMA, LINEAGE_COLUMNS, TRIP_COLUMNS, conform
@@ -368,6 +369,34 @@ def incremental_ingest(spark, sf_dir):
     return warehouse.staging().drop("source_row_number", "source_file")
 
 
+def row_ordinals(spark, sf_dir):
+    """Line items written as ten files, numbered without gap over all of them in path order."""
+    folder = new_folder(spark, "ordinal-files", sf_dir)
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", (F.col("l_orderkey") % 10).alias("file"))
+    lines.repartition("file").sortWithinPartitions("file", "l_orderkey", "l_linenumber").write.mode("overwrite").partitionBy("file").parquet(folder)
+    place = [F.col("_metadata.file_path").alias("source_file"), (F.col("_metadata.row_index") + 1).alias("source_row_number")]
+    rows = spark.read.parquet(folder).select("l_orderkey", "l_linenumber", *place)
+    offsets = file_offsets(file_counts(rows), files_per_range=3)
+    return with_global_ordinal(rows, offsets, "ordinal").select("l_orderkey", "l_linenumber", "ordinal")
+
+
+def late_file_parts(spark, sf_dir):
+    """Pickup months of the daily mart, and which of them late rows of the newest order month had rewritten."""
+    warehouse, before = driver_history(spark, sf_dir)
+    now, mart = warehouse.at(), "mart_daily_trip_metrics"
+    old = warehouse.at(before).snapshot.parts(mart)
+    rewritten = [int(part) for part, commit in now.snapshot.parts(mart).items() if old.get(part) != commit]
+    days = now.stored(mart).groupBy(period_of().alias("period")).agg(F.count("*").alias("days"))
+    return days.select("period", "days", F.col("period").isin(rewritten).alias("rewritten"))
+
+
+def previous_snapshot(spark, sf_dir):
+    """The daily mart as it was before the late rows, read after they were loaded."""
+    warehouse, before = driver_history(spark, sf_dir)
+    daily = warehouse.at(before).stored("mart_daily_trip_metrics")
+    return comparable(daily.select("pickup_date", "trip_count", "passenger_count", "total_revenue"))
+
+
 def table_files_query(spark, sf_dir):
     return table_files(spark, sf_dir, TABLES)
 
@@ -462,6 +491,9 @@ QUERIES: dict[str, Query] = {
     "latest_quality_summary": latest_quality_summary,
     "backfill_months": backfill_months,
     "incremental_ingest": incremental_ingest,
+    "row_ordinals": row_ordinals,
+    "late_file_parts": late_file_parts,
+    "previous_snapshot": previous_snapshot,
     "table_files": table_files_query,
     "top_dropoff_zones": top_dropoff_zones,
     "anomaly_flags": anomaly_flags,

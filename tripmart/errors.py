@@ -31,5 +31,9 @@ class SummaryError(TripmartError):
     """The newest quality summary is missing or malformed."""
 
 
+class CommitConflict(TripmartError):
+    """Another run published its tables after this one began; nothing of this run is visible."""
+
+
 class InvalidRequest(ValueError):
     """An argument lies outside its allowed range."""

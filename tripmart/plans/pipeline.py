@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
-from functools import partial, reduce
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +19,7 @@ from tripmart.operators.profile import profile_files, write_profile
 from tripmart.operators.ranking import HOT_GROUP_ROWS, MonthSurvey, hot_records, in_months, survey_months
 from tripmart.operators.summary import validation_summary
 from tripmart.plans.serving import readiness
-from tripmart.plans.warehouse import OUTCOMES, REJECTED, VALIDATED, Warehouse, by_partition, side_by_side
+from tripmart.plans.warehouse import REJECTED, VALIDATED, Change, Warehouse, by_partition, side_by_side
 from tripmart.sources.summaries import write_summaries
 from tripmart.sources.trips import month_files, read_month
 from tripmart.sources.zones import read_zone_file, zone_ids, zone_table
@@ -55,12 +55,12 @@ def month_buckets(surveys: Sequence[MonthSurvey], tasks: int) -> Column | None:
 def validate_months(
     trips: DataFrame,
     ids: DataFrame,
-    warehouse: Warehouse,
+    change: Change,
     ingested_at: datetime,
     months: Iterable[Month] = (),
     hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> list[Month]:
-    """Classify all months found in `trips` and replace their validated and rejected partitions.
+    """Classify all months found in `trips` and replace their validated and rejected rows in `change`.
 
     `months` adds months that were asked for but have no rows; they end up empty. Both outcomes
     of a month are written by one job from one classification.
@@ -72,12 +72,11 @@ def validate_months(
     layout = ("outcome", *MONTH_COLUMNS)
     present = [surveys[month] for month in wanted if month in surveys]
     classified = classify(
-        trips, ids, warehouse.rules, ingested_at, hot_records(present), month_buckets(present, tasks)
+        trips, ids, change.rules, ingested_at, hot_records(present), month_buckets(present, tasks)
     )
     # Sorting inside each task lets later date filters skip row groups.
     sorted_rows = classified.withColumn("outcome", outcome).sortWithinPartitions(*layout, "pickup_datetime")
-    partitions = [(name, m.service, m.year, m.month) for name in OUTCOMES for m in wanted]
-    warehouse.replace_partitions("trips", sorted_rows, layout, partitions)
+    change.replace_partitions("trips", sorted_rows, MONTH_COLUMNS, [(m.service, m.year, m.month) for m in wanted], "outcome")
     return wanted
 
 
@@ -95,18 +94,20 @@ def replace_months(
     months: Iterable[Month] = (),
     hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> RunReport:
-    """Bring the warehouse up to date with the given raw months and zone lookup; rerunnable."""
-    ids = zone_ids(zones)  # a bad lookup is refused before anything is written
-    warehouse.replace_zones(zone_table(zones))
-    done = validate_months(trips, ids, warehouse, ingested_at, months, hot_group_rows)
-
-    def derive() -> None:
-        warehouse.derive_months(done)
-        warehouse.rebuild_marts()
+    """Bring the warehouse up to date with the given raw months and zone lookup; rerunnable.
 
-    side_by_side([derive, partial(summarise_months, warehouse, done)])
-    loaded = warehouse.staging().where(in_months(done)).count()
-    return RunReport(tuple(done), loaded, warehouse.zones().count())
+    Readers see the run's tables all at once when it is complete. A run that fails leaves everything as it was.
+    """
+    ids = zone_ids(zones)  # a bad lookup is refused before anything is written
+    change = warehouse.change()
+    change.replace_zones(zone_table(zones))
+    done = validate_months(trips, ids, change, ingested_at, months, hot_group_rows)
+    change.derive_months(done)
+    change.refresh_marts(done)
+    now = warehouse.at(change.commit())
+    summarise_months(now, done)
+    loaded = now.staging().where(in_months(done)).count()
+    return RunReport(tuple(done), loaded, now.zones().count())
 
 
 @dataclass(frozen=True)

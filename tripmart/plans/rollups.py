@@ -48,6 +48,12 @@ def route_rollup(trips: DataFrame, *month_columns: str) -> DataFrame:
     return _rollup(trips, (*month_columns, *ROUTE_KEYS))
 
 
+def route_months(by_route: DataFrame, *month_columns: str) -> DataFrame:
+    """The route rollup added up over dates."""
+    measures = [name for name in by_route.columns if name not in (*month_columns, *ROUTE_KEYS)]
+    return by_route.groupBy(*month_columns, "pickup_zone_id", "dropoff_zone_id").agg(*added(*measures))
+
+
 def added(*names: str) -> list[Column]:
     """Re-aggregate rollup measures by name."""
     return [F.sum(name).alias(name) for name in names]

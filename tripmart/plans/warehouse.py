@@ -1,28 +1,26 @@
-"""The stored tables: layout, reading, and replacement of whole month partitions."""
+"""The stored tables: layout, reading as of a snapshot, and replacement of whole months in one change."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from functools import cached_property, partial
+from functools import cached_property, partial, reduce
+from threading import Lock
 
 from pyspark import InheritableThread
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from tripmart.config import MONTH_COLUMNS, Month, Rules
 from tripmart.errors import MissingRelation
 from tripmart.operators.ranking import in_months
 from tripmart.plans import models, rollups
+from tripmart.plans.snapshots import COMMIT, WHOLE, Snapshot, SnapshotLog
 from tripmart.sources.schema import CLASSIFIED_SCHEMA
 
 VALIDATED, REJECTED = "validated", "rejected"
 OUTCOMES = (VALIDATED, REJECTED)
 
-# Partitions recorded by one 64-bit mask; a write of more partitions observes several masks.
-MASK_BITS = 62
-
 MONTH_FIELDS = [
     T.StructField("service", T.StringType()),
     T.StructField("source_year", T.IntegerType()),
@@ -38,37 +36,17 @@ ROLLUPS = {"time_rollup": rollups.time_rollup, "route_rollup": rollups.route_rol
 ANOMALIES = "mart_anomalous_trips"
 ANOMALY_BODY = [name for name in models.FACT_COLUMNS if name not in MONTH_COLUMNS]
 
-# Marts that derive from a rollup, rebuilt whole because rollups are small.
-ROLLUP_MARTS = {
-    "mart_daily_trip_metrics": ("time_rollup", rollups.mart_daily),
-    "mart_hourly_demand": ("time_rollup", rollups.mart_hourly),
-    "mart_revenue_metrics": ("time_rollup", rollups.mart_revenue),
-    "mart_zone_demand": ("route_rollup", rollups.mart_zone),
-    "mart_route_metrics": ("route_rollup", rollups.mart_route),
-}
-
-
-VERSION = "version"
-
-
-def completed_versions(spark: SparkSession, folder: str) -> list[str]:
-    """Sub-folders of a table that hold a finished write, in order. A table has two at most, so the listing is short."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return []
-    found = [status.getPath() for status in files.listStatus(path)]
-    return sorted(
-        f"{folder}/{item.getName()}"
-        for item in found
-        if item.getName().startswith(f"{VERSION}=") and files.exists(jvm.org.apache.hadoop.fs.Path(item, "_SUCCESS"))
-    )
+# The route rollup added up over dates: one row for each source month and route.
+ROUTE_MONTHS = "route_months"
 
-
-def remove_folder(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+# Marts keyed by date, stored by pickup month, and marts over all dates.
+PERIOD = "period"
+DATE_MARTS = {
+    "mart_daily_trip_metrics": rollups.mart_daily,
+    "mart_hourly_demand": rollups.mart_hourly,
+    "mart_revenue_metrics": rollups.mart_revenue,
+}
+ROUTE_MARTS = {"mart_zone_demand": rollups.mart_zone, "mart_route_metrics": rollups.mart_route}
 
 
 def side_by_side(jobs: Sequence[Callable[[], None]]) -> None:
@@ -98,108 +76,73 @@ def by_partition(columns: Sequence[str], values: Mapping[tuple, int], kind: str)
 
 
 class Warehouse:
-    """Tables under one root folder.
+    """Tables under one root folder, as one snapshot shows them.
 
     `trips` holds every classified row, split by outcome and month: its `validated` part is the
     staging table, its `rejected` part the rejected sink. Rollups and the anomaly mart are
-    stored per month too, so replacing a month recomputes that month only.
+    stored per source month, marts by date per pickup month, so replacing a month recomputes what it touches. Without a pinned snapshot
+    every call reads the newest one; `relations` pins it for all relations it gives. Writes go through `change`.
     """
 
-    def __init__(self, spark: SparkSession, root: str, rules: Rules) -> None:
+    def __init__(self, spark: SparkSession, root: str, rules: Rules, snapshot: Snapshot | None = None) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.rules = rules
+        self.log = SnapshotLog(spark, self.root)
+        self._pinned = snapshot
         self._schemas: dict[str, T.StructType] = {}
 
+    @property
+    def snapshot(self) -> Snapshot:
+        return self.log.newest() if self._pinned is None else self._pinned
+
+    def at(self, snapshot: Snapshot | int | None = None) -> Warehouse:
+        """The warehouse as of a snapshot (the newest one if none is given), whatever is written later."""
+        if isinstance(snapshot, int):
+            snapshot = self.log.read(snapshot)
+        return Warehouse(self.spark, self.root, self.rules, self.snapshot if snapshot is None else snapshot)
+
+    def change(self) -> Change:
+        return Change(self)
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _read(self, name: str, schema: T.StructType | str | None = None) -> DataFrame:
-        reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
-        try:
-            return reader.parquet(self.path(name))
-        except AnalysisException as error:
-            raise MissingRelation(f"table {name} has not been written") from error
+    def _read(self, name: str, schema: T.StructType | str, keys: Sequence[str] = ()) -> DataFrame:
+        """Rows of a table in this snapshot. Folders of other commits are pruned by their names."""
+        snapshot = self.snapshot
+        if not snapshot.parts(name):
+            raise MissingRelation(f"table {name} has not been written")
+        fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        placed = T.StructType([*fields.fields, T.StructField(COMMIT, T.IntegerType())])
+        rows = self.spark.read.schema(placed).parquet(self.path(name))
+        return rows.where(snapshot.holds(name, [F.col(key) for key in keys])).drop(COMMIT)
 
     def outcome(self, outcome: str) -> DataFrame:
         """Classified rows of one outcome, in contract column order."""
-        stored = self._read("trips", TRIPS_SCHEMA).where(F.col("outcome") == outcome)
+        stored = self._read("trips", TRIPS_SCHEMA, MONTH_COLUMNS).where(F.col("outcome") == outcome)
         return stored.select(*CLASSIFIED_SCHEMA.names)
 
     def classified(self) -> DataFrame:
-        return self._read("trips", TRIPS_SCHEMA).select(*CLASSIFIED_SCHEMA.names)
+        return self._read("trips", TRIPS_SCHEMA, MONTH_COLUMNS).select(*CLASSIFIED_SCHEMA.names)
 
     def staging(self) -> DataFrame:
         return self.outcome(VALIDATED)
 
     def zones(self) -> DataFrame:
-        return self._whole("zones", ZONES_SCHEMA)
-
-    def replace_zones(self, zones: DataFrame) -> None:
-        self.replace_table("zones", zones)
-
-    def _versions(self, name: str) -> list[str]:
-        """Completely written versions of a whole table, oldest first."""
-        return completed_versions(self.spark, self.path(name))
-
-    def replace_table(self, name: str, rows: DataFrame) -> None:
-        """Write a new version beside the current one; readers see it once it is complete, and only then older ones go.
-
-        The version before the new one stays for queries that are already reading it.
-        """
-        versions = self._versions(name)
-        number = 1 + max((int(version.rsplit("=", 1)[1]) for version in versions), default=0)
-        # An attempt that died may have left an incomplete folder of this number behind; it is replaced.
-        rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path(name)}/{VERSION}={number:08d}")
-        for old in versions[:-1]:
-            remove_folder(self.spark, old)
-
-    def _whole(self, name: str, schema: T.StructType | str) -> DataFrame:
-        versions = self._versions(name)
-        if not versions:
-            raise MissingRelation(f"table {name} has not been written")
-        return self.spark.read.schema(schema).parquet(versions[-1])
-
-    def replace_partitions(
-        self, name: str, rows: DataFrame, columns: Sequence[str], partitions: Sequence[tuple]
-    ) -> None:
-        """Replace exactly the given partitions of a table by the given rows.
+        return self._read("zones", ZONES_SCHEMA)
 
-        Written partitions are swapped in when the job commits. A partition that received no row
-        would keep its old content, so the write records which ones were hit, and an empty file
-        replaces the others.
-        """
-        number = by_partition(columns, {values: position for position, values in enumerate(partitions)}, "int")
-        seen = Observation()
-        masks = [
-            F.bit_or(F.when(number.between(first, first + MASK_BITS - 1), F.call_function("shiftleft", F.lit(1).cast("bigint"), number - first))).alias(f"mask_{first}")
-            for first in range(0, len(partitions), MASK_BITS)
-        ]
-        (
-            rows.observe(seen, *masks)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", "zstd")
-            .partitionBy(*columns)
-            .parquet(self.path(name))
-        )
-        hit = seen.get
-        body = T.StructType([field for field in rows.schema.fields if field.name not in columns])
-        for position, values in enumerate(partitions):
-            first = position - position % MASK_BITS
-            if not (hit.get(f"mask_{first}") or 0) >> position - first & 1:
-                folder = "/".join(f"{column}={value}" for column, value in zip(columns, values, strict=True))
-                empty = self.spark.createDataFrame([], body)
-                empty.coalesce(1).write.mode("overwrite").parquet(f"{self.path(name)}/{folder}")
-
-    def relations(self) -> "StoredRelations":
-        return StoredRelations(self)
+    def relations(self) -> StoredRelations:
+        return StoredRelations(self.at())
 
     def stored(self, name: str) -> DataFrame:
         """A derived table, read with the schema its definition gives (no file is opened for it)."""
-        if name in ROLLUP_MARTS:
-            return self._whole(name, self._derived_schema(name))
-        table = self._read(name, self._derived_schema(name))
+        schema = self._derived_schema(name)
+        if name in ROUTE_MARTS:
+            return self._read(name, schema)
+        if name in DATE_MARTS:
+            return self._read(name, T.StructType([*schema.fields, T.StructField(PERIOD, T.IntegerType())]), [PERIOD]).drop(PERIOD)
+        table = self._read(name, schema, MONTH_COLUMNS)
         return table.select(*models.FACT_COLUMNS) if name == ANOMALIES else table
 
     @cached_property
@@ -210,22 +153,56 @@ class Warehouse:
         if name not in self._schemas:
             if name in ROLLUPS:
                 derived = ROLLUPS[name](self._empty_trips, *MONTH_COLUMNS)
+            elif name == ROUTE_MONTHS:
+                derived = rollups.route_months(rollups.route_rollup(self._empty_trips, *MONTH_COLUMNS), *MONTH_COLUMNS)
             elif name == ANOMALIES:
                 derived = self._empty_trips.select(*ANOMALY_BODY, *MONTH_COLUMNS)
+            elif name in DATE_MARTS:
+                derived = DATE_MARTS[name](rollups.time_rollup(self._empty_trips))
             else:
-                source, build = ROLLUP_MARTS[name]
-                derived = build(ROLLUPS[source](self._empty_trips))
+                derived = ROUTE_MARTS[name](rollups.route_rollup(self._empty_trips))
             self._schemas[name] = derived.schema
         return self._schemas[name]
 
-    def rebuild_marts(self) -> None:
-        """Rewrite the marts that derive from rollups; the jobs are independent and run side by side."""
-        side_by_side(
-            [
-                partial(self.replace_table, name, build(self.stored(source)))
-                for name, (source, build) in ROLLUP_MARTS.items()
-            ]
-        )
+
+def period_of(date: str = "pickup_date") -> Column:
+    """The calendar month of a date as one number; 0 without a date."""
+    return F.coalesce(F.year(date) * 100 + F.month(date), F.lit(0))
+
+
+class Change(Warehouse):
+    """All writes of one run. Reads through it see them; everybody else sees them together once `commit` is done, or never."""
+
+    def __init__(self, warehouse: Warehouse) -> None:
+        super().__init__(warehouse.spark, warehouse.root, warehouse.rules, warehouse.log.newest())
+        self.base = warehouse.at(self._pinned)
+        self.number = self.log.claim_commit()
+        self._lock = Lock()
+
+    def commit(self) -> Snapshot:
+        """Publish the run's writes. Raises CommitConflict if another run was published since this one began."""
+        done = self.log.publish(self.snapshot, self.base.snapshot)
+        self.log.clean()
+        return done
+
+    def _written(self, name: str, rows: DataFrame, parts: Sequence[str], *layout: str) -> None:
+        writer = rows.write.option("compression", "zstd")
+        (writer.partitionBy(*layout) if layout else writer).parquet(f"{self.path(name)}/{COMMIT}={self.number}")
+        with self._lock:
+            self._pinned = self.snapshot.with_parts(name, parts, self.number)
+
+    def replace_table(self, name: str, rows: DataFrame) -> None:
+        self._written(name, rows, [WHOLE])
+
+    def replace_zones(self, zones: DataFrame) -> None:
+        self.replace_table("zones", zones)
+
+    def replace_partitions(self, name: str, rows: DataFrame, keys: Sequence[str], parts: Sequence[tuple], *layout: str) -> None:
+        """Replace exactly the given parts of a table by the given rows; a part without rows is then empty.
+
+        Folders are laid out by `layout` and the keys. Rows of other parts must not be given.
+        """
+        self._written(name, rows, ["/".join(map(str, values)) for values in parts], *layout, *keys)
 
     def derive_months(self, months: Sequence[Month]) -> None:
         """Recompute rollups and anomalies of the given months from their staged rows."""
@@ -235,9 +212,39 @@ class Warehouse:
         tables = {name: rollup(staged, *MONTH_COLUMNS).sortWithinPartitions(*MONTH_COLUMNS, "pickup_date") for name, rollup in ROLLUPS.items()}
         unusual = models.mart_anomalous_trips(staged, self.rules)
         tables[ANOMALIES] = unusual.select(*ANOMALY_BODY, *MONTH_COLUMNS).sortWithinPartitions(*MONTH_COLUMNS, "pickup_date")
-        side_by_side(
-            [partial(self.replace_partitions, name, rows, MONTH_COLUMNS, keys) for name, rows in tables.items()]
-        )
+        side_by_side([partial(self.replace_partitions, name, rows, MONTH_COLUMNS, keys) for name, rows in tables.items()])
+
+    def refresh_marts(self, months: Sequence[Month]) -> None:
+        """Bring the marts up to date after the given months were derived.
+
+        Marts by date are recomputed for the pickup months that the months' trips lie in, before or after the change; other pickup months keep
+        their files. Marts by zone and route re-add one row for each source month and route.
+        """
+        keys = [(m.service, m.year, m.month) for m in months]
+        by_date = self._refresh_date_marts
+        by_month = rollups.route_months(self.stored("route_rollup").where(in_months(months)), *MONTH_COLUMNS)
+
+        def by_route() -> None:
+            self.replace_partitions(ROUTE_MONTHS, by_month, MONTH_COLUMNS, keys)
+            routes = self.stored(ROUTE_MONTHS)
+            side_by_side([partial(self.replace_table, name, build(routes)) for name, build in ROUTE_MARTS.items()])
+
+        side_by_side([partial(by_date, months), by_route])
+
+    def _refresh_date_marts(self, months: Sequence[Month]) -> None:
+        periods = self.touched_periods(months)
+        ends = [F.make_date(F.lit(p // 100), F.lit(p % 100), F.lit(1)) for p in (periods[:1] + periods[-1:]) if p]
+        rows = self.stored("time_rollup").where(period_of().isin(periods))
+        if len(ends) == 2:  # lets the scan skip row groups
+            rows = rows.where((F.col("pickup_date") >= ends[0]) & (F.col("pickup_date") <= F.last_day(ends[1])))
+        tables = {name: build(rows).withColumn(PERIOD, period_of()).sortWithinPartitions(PERIOD, "pickup_date") for name, build in DATE_MARTS.items()}
+        side_by_side([partial(self.replace_partitions, name, table, [PERIOD], [(p,) for p in periods]) for name, table in tables.items()])
+
+    def touched_periods(self, months: Sequence[Month]) -> list[int]:
+        """Pickup months in which the given source months have or had trips; a number for each, so the list is short."""
+        states = [self, self.base] if self.base.snapshot.parts("time_rollup") else [self]
+        found = [state.stored("time_rollup").where(in_months(months)).select(period_of().alias(PERIOD)) for state in states]
+        return sorted(row[PERIOD] for row in reduce(DataFrame.union, found).distinct().collect())
 
 
 class StoredRelations(Mapping[str, DataFrame]):
@@ -264,7 +271,7 @@ class StoredRelations(Mapping[str, DataFrame]):
             "dim_payment_type": lambda: models.dim_payment_type(spark),
             "dim_rate_code": lambda: models.dim_rate_code(spark),
         }
-        for name in (*ROLLUPS, *ROLLUP_MARTS, ANOMALIES):
+        for name in (*ROLLUPS, ROUTE_MONTHS, *DATE_MARTS, *ROUTE_MARTS, ANOMALIES):
             self._builders[name] = partial(warehouse.stored, name)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -275,5 +282,3 @@ class StoredRelations(Mapping[str, DataFrame]):
 
     def __len__(self) -> int:
         return len(self._builders)
-
-

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on; everything else is left to the cluster.
 SESSION_SETTINGS = {
@@ -35,3 +37,11 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: spark.checkpoint.dir as the cluster names it, else the session's warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return configured.rstrip("/")
+
+
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """A frame written once to the shared folder and read back, so that every later use sees the same rows."""
+    spark = frame.sparkSession
+    folder = f"{shared_folder(spark)}/tripmart/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(folder)
+    return spark.read.schema(frame.schema).parquet(folder)

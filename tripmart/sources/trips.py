@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tripmart.config import Month
 from tripmart.errors import InvalidRequest
+from tripmart.operators.ordinals import file_counts, file_offsets, with_global_ordinal
 from tripmart.sources.files import parquet_footers
 from tripmart.sources.schema import conform
 
@@ -41,13 +42,17 @@ def read_month(spark: SparkSession, path: str, month: Month) -> DataFrame:
     """Typed trips of one month.
 
     Source files of a month may differ in column types, so files are read per distinct schema
-    and united after conforming.
+    and united after conforming. Rows are numbered through all files in path order.
     """
     files = month_files(spark, path)
     parts = [
         conform(with_file_lineage(spark.read.parquet(*group), month)) for group in schema_groups(spark, files)
     ]
-    return reduce(DataFrame.unionByName, parts)
+    trips = reduce(DataFrame.unionByName, parts)
+    if len(files) < 2:
+        return trips
+    numbered = with_global_ordinal(trips, file_offsets(file_counts(trips), len(files)))
+    return numbered.select(*trips.columns)
 
 
 def month_files(spark: SparkSession, path: str) -> list[str]:
