@@ -37,3 +37,13 @@ def test_query_equals_sql(spark, sql_engine, name):
     assert sorted(frame.columns) == sorted(columns)
     assert rows_of(frame.columns, frame.collect()) == rows_of(columns, cursor.fetchall())
 
+
+
+def test_trip_queries_work_where_the_corpus_part_cannot_be_imported():
+    """In a process of its own, in which a library that only the corpus part needs is missing."""
+    import subprocess
+    import sys
+
+    code = "import sys; sys.modules['xxhash'] = sys.modules['regex'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=Path(__file__).resolve().parents[1], capture_output=True, text=True, check=True)
+    assert done.stdout.split() == [str(len(QUERIES)), str(len(ORACLE))]
