@@ -237,7 +237,8 @@ class Change(Warehouse):
         rows = self.stored("time_rollup").where(period_of().isin(periods))
         if len(ends) == 2:  # lets the scan skip row groups
             rows = rows.where((F.col("pickup_date") >= ends[0]) & (F.col("pickup_date") <= F.last_day(ends[1])))
-        tables = {name: build(rows).withColumn(PERIOD, period_of()).sortWithinPartitions(PERIOD, "pickup_date") for name, build in DATE_MARTS.items()}
+        # One file for each pickup month: a mart has a few rows for each of its dates, so this is never much.
+        tables = {name: build(rows).withColumn(PERIOD, period_of()).repartition(PERIOD).sortWithinPartitions(PERIOD, "pickup_date") for name, build in DATE_MARTS.items()}
         side_by_side([partial(self.replace_partitions, name, table, [PERIOD], [(p,) for p in periods]) for name, table in tables.items()])
 
     def touched_periods(self, months: Sequence[Month]) -> list[int]:
