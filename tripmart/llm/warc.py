@@ -1,17 +1,20 @@
 """WARC archives through a chunked record table.
 
-A page becomes one or more rows (row id, chunk number, data of at most `chunk_chars` characters), and every row
+A page becomes one or more rows (row id, chunk number, data of at most `chunk_bytes` bytes), and every row
 is written as one WARC record: the first chunk as `response`, later ones as `continuation` with the standard's segment
 fields, so no record is longer than a chunk. A chunk also ends inside any occurrence of the record marker in a
 payload; the marker then stands only at the head of a record, and the text reader can cut archives at it and stream them.
 
-Digests are carried incrementally: a payload of one chunk is hashed where it is read; the chunks of longer ones are
-sorted by (row id, chunk) and fed to one running digest, so no task holds a whole payload that was read back.
+Oversized payloads are cut in one forward pass: their bytes are read where they lie in the Arrow batch, and chunks are handed on in
+batches of `batch_bytes`, so beyond the page's own row no task allocates a second whole payload. Digests are carried incrementally:
+the pass that cuts a payload feeds its chunks to a running digest, and so does the reader, for which chunks are
+sorted by (row id, chunk); a payload of one chunk is hashed where it is read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,15 +28,18 @@ from tripmart.llm.tables import new_folder, stored
 MARKER = "WARC/1.1\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LINE, GAP = "\r\n", "\r\n\r\n"
+# The version line without its end, and its part after which a marker inside a payload is cut.
+VERSION, HALF = b"WARC/1.1", b"WARC/"
+_MARKED = re.compile(re.escape(MARKER.encode()))
 
 
 @dataclass(frozen=True)
 class WarcFormat:
-    chunk_chars: int = 64 * 1024
+    chunk_bytes: int = 64 * 1024
     min_revisit_bytes: int = 100
     compression: str = "gzip"
     date: str = "2026-01-01T00:00:00Z"
-    chunks_per_batch: int = 128
+    batch_bytes: int = 4 * 1024 * 1024
 
 
 def described(pages: DataFrame, params: WarcFormat) -> DataFrame:
@@ -56,26 +62,83 @@ def described(pages: DataFrame, params: WarcFormat) -> DataFrame:
     return base.join(groups, "digest", "left").select("page_id", "url", "html", "digest", "bytes", refers.alias("refers_to"))
 
 
-def chunk_table(rows: DataFrame, params: WarcFormat) -> DataFrame:
-    """One row for each chunk, with row_id, chunk, chunks and data in place of html; a revisit has one empty chunk."""
-    size = params.chunk_chars
+def cuts(data: memoryview, size: int) -> Iterator[tuple[int, int]]:
+    """The (start, end) of each chunk of UTF-8 bytes, from front to back.
+
+    A chunk has at most `size` bytes, or one character if that is longer. It ends at a border of characters and holds no record marker,
+    nor would it together with the line end that follows a record.
+    """
+    start, stop = 0, len(data)
+    while True:
+        end = min(start + size, stop)
+        while end < stop and end > start and data[end] & 0xC0 == 0x80:
+            end -= 1
+        if end == start < stop:
+            end += 1
+            while end < stop and data[end] & 0xC0 == 0x80:
+                end += 1
+        inside = _MARKED.search(data, start, end)
+        if inside:
+            end = inside.start() + len(HALF)
+        elif bytes(data[max(start, end - len(VERSION)) : end]) == VERSION:
+            end -= len(VERSION) - len(HALF)
+        yield start, end
+        start = end
+        if start >= stop:
+            return
+
+
+def cut_rows(params: WarcFormat):
+    """Arrow batches of (page_id, url, digest, bytes, row_id, html) to the chunk table's rows, checking each digest as it runs."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            html = batch.column(5)
+            for k in range(batch.num_rows):
+                data, whole = memoryview(html[k].as_buffer()), hashlib.sha256()
+                held: list[tuple[int, bool, bytes]] = []
+                filled = 0
+                for chunk, (start, end) in enumerate(cuts(data, params.chunk_bytes)):
+                    whole.update(data[start:end])
+                    held.append((chunk, end == len(data), bytes(data[start:end])))
+                    filled += end - start
+                    if filled >= params.batch_bytes:
+                        yield chunk_batch(batch, k, held)
+                        held, filled = [], 0
+                if whole.hexdigest() != batch.column(2)[k].as_py():
+                    raise ValueError(f"page {batch.column(0)[k].as_py()} changed while it was cut")
+                if held:
+                    yield chunk_batch(batch, k, held)
+
+    return rows
+
+
+def chunk_batch(batch: pa.RecordBatch, k: int, held: list[tuple[int, bool, bytes]]) -> pa.RecordBatch:
+    """Some chunks of one page beside the page's own columns."""
+    page = [pa.array([batch.column(at)[k].as_py()] * len(held), kind) for at, kind in enumerate((pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()))]
+    chunk, last, data = zip(*held)
+    own = [pa.array(chunk, pa.int32()), pa.array(last, pa.bool_()), pa.array(data, pa.binary()).cast(pa.string())]
+    return pa.RecordBatch.from_arrays([*page, *own], ["page_id", "url", "digest", "bytes", "row_id", "chunk", "last", "data"])
 
-    def by_length(part: Column) -> Column:
-        steps = F.sequence(F.lit(0), F.greatest(F.floor((F.length(part) - 1) / size), F.lit(0)).cast("int"))
-        return F.transform(steps, lambda k: F.substring(part, k * size + 1, F.lit(size)))
 
+def chunk_table(rows: DataFrame, params: WarcFormat) -> DataFrame:
+    """One row for each chunk: row_id, chunk, whether it is the last, and data in place of html; a revisit has one empty chunk."""
     html = F.col("html")
-    plain = (F.length(html) <= size) & ~F.contains(html, F.lit(MARKER))
-    cut = F.flatten(F.transform(F.split(html, "(?<=WARC/)(?=1\\.1\\r\\n)"), by_length))
-    chunks = F.when(F.col("refers_to").isNotNull(), F.array(F.lit(""))).when(plain, F.array(html)).otherwise(cut)
-    rows = rows.select("page_id", "url", "digest", "bytes", "refers_to", F.expr("uuid()").alias("row_id"), chunks.alias("parts"))
-    return rows.select("*", F.size("parts").alias("chunks"), F.posexplode("parts").alias("chunk", "data")).drop("parts")
+    whole = (F.octet_length(html) <= params.chunk_bytes) & ~F.contains(html, F.lit(MARKER)) & ~F.endswith(html, F.lit(VERSION.decode()))
+    page = ["page_id", "url", "digest", "bytes", F.expr("uuid()").alias("row_id")]
+    revisit = F.col("refers_to").isNotNull()
+    one = rows.where(whole | revisit).select(
+        *page, F.lit(0).alias("chunk"), F.lit(True).alias("last"), F.when(revisit, F.lit("")).otherwise(html).alias("data"), "refers_to"
+    )
+    oversized = rows.where(~whole & ~revisit).select(*page, "html")
+    kinds = "page_id long, url string, digest string, bytes long, row_id string, chunk int, last boolean, data string"
+    return one.unionByName(oversized.mapInArrow(cut_rows(params), kinds).withColumn("refers_to", F.lit(None).cast("long")))
 
 
 def archive_records(chunks: DataFrame, params: WarcFormat) -> Column:
     """The text of one WARC record for each row of the chunk table, without the two line ends that close it."""
     page = F.coalesce(F.col("page_id").cast("string"), F.lit("unknown"))
-    first, split = F.col("chunk") == 0, F.col("chunks") > 1
+    first, split = F.col("chunk") == 0, (F.col("chunk") > 0) | ~F.col("last")
     identity = F.concat(F.lit("<urn:page:"), page, F.lit(">"))
     kind = F.when(F.col("refers_to").isNotNull(), "revisit").when(first, "response").otherwise("continuation")
 
@@ -86,14 +149,15 @@ def archive_records(chunks: DataFrame, params: WarcFormat) -> Column:
         field("WARC-Type", kind),
         field("WARC-Record-ID", F.when(first, identity).otherwise(F.concat(F.lit("<urn:page:"), page, F.lit(":segment:"), F.col("chunk") + 1, F.lit(">")))),
         field("WARC-Date", F.lit(params.date)),
-        field("WARC-Target-URI", F.regexp_replace("url", "[\\x00-\\x20]+", "%20")),
+        # An address that ends like the version line would make a marker with the line end.
+        field("WARC-Target-URI", F.regexp_replace(F.regexp_replace("url", "[\\x00-\\x20]+", "%20"), "WARC/1\\.1$", "WARC/1%2E1")),
         field("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
         field("WARC-Block-Digest", F.concat(F.lit("sha256:"), F.sha2(F.col("data").cast("binary"), 256))),
         F.when(F.col("refers_to").isNotNull(), field("WARC-Profile", F.lit(PROFILE))),
         F.when(F.col("refers_to").isNotNull(), field("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to"), F.lit(">")))),
         F.when(split, field("WARC-Segment-Number", (F.col("chunk") + 1).cast("string"))),
         F.when(split & ~first, field("WARC-Segment-Origin-ID", identity)),
-        F.when(split & (F.col("chunk") + 1 == F.col("chunks")), field("WARC-Segment-Total-Length", F.col("bytes").cast("string"))),
+        F.when(split & F.col("last"), field("WARC-Segment-Total-Length", F.col("bytes").cast("string"))),
         field("X-Payload-Length", F.col("bytes").cast("string")),
         field("X-Row-ID", F.col("row_id")),
         field("Content-Type", F.lit("text/html; charset=utf-8")),
@@ -164,23 +228,17 @@ def running_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield batch_of(found)
 
 
-def read_payloads(spark: SparkSession, folder: str, params: WarcFormat = WarcFormat()) -> DataFrame:
+def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every page in the archives.
 
     Payloads of all responses are hashed anew and compared with what their records say.
     """
     records = read_records(spark, folder)
     parts = records.where("segment is not null").select("row_id", "page_id", "segment", F.col("data").cast("binary").alias("data"), "bytes", "digest")
-    setting, name = "spark.sql.execution.arrow.maxRecordsPerBatch", None
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(params.chunks_per_batch))  # a batch holds at most so many chunks
-    try:
-        said = parts.where("segment = 1").select("row_id", "bytes", "digest")
-        ordered = parts.select("row_id", "page_id", "segment", "data").repartition("row_id").sortWithinPartitions("row_id", "segment")
-        found = ordered.mapInArrow(running_digests, "row_id string, page_id long, own_bytes long, own_digest string")
-        long = stored(found.join(said, "row_id").drop("row_id"), "long_payloads")
-    finally:
-        spark.conf.set(setting, before)
+    said = parts.where("segment = 1").select("row_id", "bytes", "digest")
+    ordered = parts.select("row_id", "page_id", "segment", "data").repartition("row_id").sortWithinPartitions("row_id", "segment")
+    found = ordered.mapInArrow(running_digests, "row_id string, page_id long, own_bytes long, own_digest string")
+    long = stored(found.join(said, "row_id").drop("row_id"), "long_payloads")
     own = records.where("segment is null and kind = 'response'")
     own = own.select("page_id", F.octet_length("data").cast("long").alias("own_bytes"), F.sha2(F.col("data").cast("binary"), 256).alias("own_digest"), "bytes", "digest")
     same = (F.col("own_bytes") == F.col("bytes")) & (F.col("own_digest") == F.col("digest"))
@@ -203,4 +261,4 @@ def round_trip(pages: DataFrame, params: WarcFormat = WarcFormat(), folder: str
     """
     folder = folder or new_folder(pages.sparkSession, "warc")
     write_archives(pages, folder, params)
-    return read_payloads(pages.sparkSession, folder, params)
+    return read_payloads(pages.sparkSession, folder)
