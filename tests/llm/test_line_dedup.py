@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import duckdb
+
 from tripmart.llm.line_dedup import LineDedup, drop_boilerplate
+from tripmart.llm.oracle import LINE_DEDUP
 
 
 def test_drops_lines_by_share_of_the_site(docs_of):
@@ -12,9 +15,19 @@ def test_drops_lines_by_share_of_the_site(docs_of):
 
 
 def test_ratio_is_exceeded_not_met(docs_of):
-    rows = [(k, "often\nrest" + str(k) if k < 3 else f"rest{k}", None, "a") for k in range(30)]
+    rows = [(k, "often\nrest" + str(k) if k < 7 else f"rest{k}", None, "a") for k in range(100)]
     assert sum(r.lines_dropped for r in drop_boilerplate(docs_of(rows), LineDedup()).collect()) == 0
-    assert sum(r.lines_dropped for r in drop_boilerplate(docs_of(rows[:29]), LineDedup()).collect()) == 3
+    assert sum(r.lines_dropped for r in drop_boilerplate(docs_of(rows[:99]), LineDedup()).collect()) == 7
+
+
+def test_repeated_rows_count_alike_in_code_and_sql(docs_of):
+    rows = [(k // 3, "often\nsame" if k < 6 else f"rest{k}", None, "a") for k in range(60)] + [(None, "often\nx", None, None)]
+    docs = docs_of(rows)
+    connection = duckdb.connect()
+    connection.register("documents", docs.toArrow())
+    theirs = connection.execute(LINE_DEDUP).fetchall()
+    found = drop_boilerplate(docs).select("doc_id", "source", "text", "lines_dropped").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(theirs, key=str) and sum(r.lines_dropped for r in found) == 12
 
 
 def test_odd_rows_columns_and_no_python(docs_of, odd_rows):

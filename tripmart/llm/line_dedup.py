@@ -18,7 +18,7 @@ from tripmart.llm.tables import stored
 
 @dataclass(frozen=True)
 class LineDedup:
-    ratio_percent: int = 10
+    ratio_percent: int = 7
     min_pages: int = 3
 
 

@@ -21,10 +21,10 @@ FROM n JOIN reach r ON r.a = n.doc_id GROUP BY n.doc_id, n.n
 """
 
 LINE_DEDUP = """
-WITH lines AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents),
+WITH lines AS (SELECT page, source, unnest(string_split(text, chr(10))) AS line FROM (SELECT *, row_number() OVER () AS page FROM documents)),
 site AS (SELECT source, count(*) AS total FROM documents GROUP BY source),
 often AS (SELECT source, line FROM lines JOIN site USING (source) WHERE regexp_matches(line, '[^ \\x09-\\x0D]')
-          GROUP BY source, line, total HAVING count(DISTINCT doc_id) >= 3 AND 100 * count(DISTINCT doc_id) > 10 * total),
+          GROUP BY source, line, total HAVING count(DISTINCT page) >= 3 AND 100 * count(DISTINCT page) > 7 * total),
 site_lines AS (SELECT source, list(line) AS lines FROM often GROUP BY source)
 SELECT d.doc_id, d.source,
        CASE WHEN s.lines IS NULL OR d.text IS NULL THEN d.text
