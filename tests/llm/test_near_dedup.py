@@ -74,6 +74,23 @@ def test_odd_rows(docs_of, odd_rows):
     assert by_id[4] == (1, 4, True)
 
 
+def test_repeated_ids_with_differing_texts(docs_of):
+    draw = random.Random(5)
+    base = [[f"{name}{draw.randrange(60)}" for _ in range(80)] for name in "abcdefgh"]
+    rows = [(5, " ".join(base[0])), (5, " ".join(base[1])), (9, " ".join([*base[1], "more"])), (11, " ".join([*base[0], "more"]))]
+    rows += [(3, " ".join([*base[2], "x"])), (7, " ".join(base[2])), (7, " ".join(base[3])), (8, " ".join([*base[3], "y"])), (8, None), (8, " ".join(base[4]))]
+    rows += [(20, " ".join(base[5])), (20, " ".join(base[5])), (21, " ".join(base[6])), (22, " ".join(base[4])), (23, " ".join(base[6]))]
+    rows += [(2, " ".join(base[7])), (2, "few words"), (2, "few WORDS"), (6, "other")]
+    for partitions in (1, 5):
+        draw.shuffle(rows)
+        found = near_duplicates(docs_of(rows).repartition(partitions), NearDedup(shingle_words=2)).collect()
+        assert len(found) == len(rows)
+        assert all(r.n_shingles == len(shingles(text, 2)) for r, (_, text) in zip(sorted(found, key=lambda r: (r.doc_id, r.n_shingles)), sorted(rows, key=lambda r: (r[0], len(shingles(r[1], 2))))))
+        groups = {5: 5, 9: 5, 11: 5, 3: 3, 7: 3, 8: 3, 22: 3, 20: 20, 21: 21, 23: 21, 2: 2, 6: 6}
+        assert {(r.doc_id, r.component_id) for r in found if r.n_shingles} == set(groups.items())
+        assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+
+
 def test_empty_table(docs_of):
     assert near_duplicates(docs_of([])).collect() == []
 

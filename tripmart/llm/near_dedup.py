@@ -50,8 +50,8 @@ class NearDedup:
         return 2 * self.chunks - 1
 
 
-def signature_rows(params: NearDedup):
-    """Arrow batches of (doc_id, text) to (doc_id, n_shingles, high, low, signature)."""
+def signature_rows(params: NearDedup, keep_text: bool = False):
+    """Arrow batches of (doc_id, text) to (doc_id, n_shingles, high, low, signature), or to the text in place of the signature."""
     draw = np.random.default_rng(7)
     factors = draw.integers(0, 1 << 63, params.symbols, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     masks = draw.integers(0, 1 << 63, params.symbols, dtype=np.uint64)
@@ -78,9 +78,9 @@ def signature_rows(params: NearDedup):
                         pa.array(count.astype(np.int64)),
                         pa.array(digests[0].view(np.int64)),
                         pa.array(digests[1].view(np.int64)),
-                        pa.array([row.tobytes() for row in symbols], pa.binary()),
+                        batch.column(1).slice(first, last - first) if keep_text else pa.array([row.tobytes() for row in symbols], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "high", "low", "signature"],
+                    ["doc_id", "n_shingles", "high", "low", "text" if keep_text else "signature"],
                 )
 
     return rows
@@ -202,25 +202,37 @@ def near_duplicates(docs: DataFrame, params: NearDedup = NearDedup(), id_col: st
 
     Null or blank text has no shingles and no links. A row without id is never linked: its component is null and it
     is kept. Rows that repeat an id share its component and verdict; if their texts differ, all of them count as that
-    document. Columns of other names are ignored. An empty table gives no rows.
+    document and are linked with each other (but a row without words stays alone). Ids are below 2**62. Columns of other names are ignored. An empty table gives no rows.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stored(docs.mapInArrow(signature_rows(params), "doc_id long, n_shingles long, high long, low long, signature binary"), "signatures")
     usable = signed.where("n_shingles > 0 and doc_id is not null")
     same = ["high", "low", "n_shingles"]
-    classes = stored(usable.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("most"), F.first("signature").alias("signature")), "classes")
+    classes = usable.groupBy(*same).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.first("signature").alias("signature"))
+
+    # An id with several sets is in several classes. A class that it names is told apart by a number of its own above all ids.
+    sets = F.struct(*same)
+    several = usable.groupBy("doc_id").agg(F.min(sets).alias("one"), F.max(sets).alias("other")).where("one != other").select("doc_id")
+    several = stored(several, "several")
+    marked = classes.join(several.withColumnRenamed("doc_id", "least").withColumn("torn", F.lit(True)), "least", "left")
+    own = F.xxhash64("least", *same).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    classes = stored(marked.withColumn("rep", F.when(F.col("torn"), own).otherwise(F.col("least"))), "classes")
 
     keys = classes.select("rep", "signature").mapInArrow(key_rows(params), "key long, rep long")
     buckets = stored(keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key", "lo"), "buckets")
     members = stored(keys.join(buckets, "key"), "members")
-    texts = stored(
-        docs.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").select(F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep"]), "texts"
-    )
+    met = members.select("rep").distinct()
+    plain = docs.join(met.withColumnRenamed("rep", "doc_id"), "doc_id").select(F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep"])
+    again = docs.join(several, "doc_id", "left_semi").mapInArrow(signature_rows(params, True), "doc_id long, n_shingles long, high long, low long, text string")
+    torn = classes.where("torn").join(again, same).where("doc_id = least").join(met, "rep", "left_semi").select("rep", "text").dropDuplicates(["rep"])
+    texts = stored(plain.unionByName(torn), "texts")
+    ties = usable.join(several, "doc_id", "left_semi").join(classes.select(*same, "rep"), same).select("doc_id", "rep")
+    ties = stored(ties.where("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct(), "ties")
 
     stars = members.where("rep > lo")
     first = stars.groupBy(F.col("rep").alias("a")).agg(F.min("lo").alias("b"))
     tested = stored(first, "tested")
-    links = stored(confirmed(tested, texts, params), "links")
+    links = stored(ties.unionByName(confirmed(tested, texts, params)), "links")
     roots = components(links)
 
     open_stars = _across(stars.select(F.col("rep").alias("a"), F.col("lo").alias("b")).distinct(), roots).join(tested, ["a", "b"], "left_anti")
@@ -238,7 +250,7 @@ def near_duplicates(docs: DataFrame, params: NearDedup = NearDedup(), id_col: st
         links = stored(links.unionByName(confirmed(rest, texts, params)), "links")
         roots = components(links)
 
-    copies = classes.where("rep < most").select(*same, "rep")
+    copies = classes.where("rep != most or torn").select(*same, "rep")
     labelled = signed.join(copies, same, "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
     labelled = labelled.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("root", "rep")
