@@ -13,7 +13,7 @@ from tripmart.plans.pipeline import PipelineConfig, replace_months, run_pipeline
 from tripmart.plans.serving import daily_metrics
 from tripmart.plans.warehouse import Warehouse
 from tripmart.sources.schema import conform
-from tripmart.sources.summaries import latest_summary
+from tripmart.sources.summaries import latest_summary, read_summaries
 from tripmart.sources.trips import read_month
 from tripmart.sources.zones import read_zone_file
 from tripmart.streaming.arrivals import ingest_arrivals
@@ -42,6 +42,10 @@ def test_whole_run_on_a_few_rows(spark, write_raw, zone_file, tmp_path):
     summary = latest_summary(spark, warehouse.path("summaries"))
     assert summary["status_counts"] == {"valid": 2, "warning": 2, "rejected": 2}
     assert summary["artifact_name"] == "validation_2026_01_yellow"
+    (document,) = read_summaries(spark, warehouse.path("summaries")).collect()
+    assert document.source_path == config.raw_paths[JAN]
+    kept = {name: spark.read.parquet(document.outputs[name]).count() for name in ("validated", "rejected")}
+    assert kept == {"validated": 4, "rejected": 2}
 
 
 @pytest.fixture

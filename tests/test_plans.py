@@ -85,6 +85,12 @@ def test_served_queries_have_no_cross_join(spark, name):
     assert "CartesianProduct" not in text and "NestedLoop" not in text and "EvalPython" not in text
 
 
+@pytest.mark.parametrize("name", ["metadata", "freshness", "readiness"])
+def test_counts_and_freshness_read_no_trip_file(spark, name):
+    files = QUERIES[name](spark, SF_DIR).inputFiles()
+    assert files and not any("/trips/" in file for file in files)
+
+
 @pytest.mark.parametrize("name", ["dq_relationships", "revenue_labeled", "dim_rate_code"])
 def test_dimension_joins_do_not_shuffle_trips(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))

@@ -80,10 +80,15 @@ def validate_months(
     return wanted
 
 
-def summarise_months(warehouse: Warehouse, months: Sequence[Month]) -> None:
-    """Write one summary document per month from the stored, classified rows."""
+def summarise_months(warehouse: Warehouse, months: Sequence[Month], sources: Mapping[Month, str]) -> None:
+    """Write one summary document per month from the stored, classified rows, with its source path and outputs."""
     stored = warehouse.classified().where(in_months(months))
-    write_summaries(validation_summary(stored), warehouse.path("summaries"))
+    places = [
+        (m.service, m.year, m.month, sources.get(m), (warehouse.month_folder(VALIDATED, m), warehouse.month_folder(REJECTED, m))) for m in months
+    ]
+    schema = "service string, year int, month int, source_path string, outputs struct<validated: string, rejected: string>"
+    documents = validation_summary(stored).join(F.broadcast(warehouse.spark.createDataFrame(places, schema)), ["service", "year", "month"])
+    write_summaries(documents, warehouse.path("summaries"))
 
 
 def replace_months(
@@ -93,8 +98,9 @@ def replace_months(
     ingested_at: datetime,
     months: Iterable[Month] = (),
     hot_group_rows: int = HOT_GROUP_ROWS,
+    sources: Mapping[Month, str] | None = None,
 ) -> RunReport:
-    """Bring the warehouse up to date with the given raw months and zone lookup; rerunnable.
+    """Bring the warehouse up to date with the given raw months and zone lookup; rerunnable. `sources` names where months come from.
 
     Readers see the run's tables all at once when it is complete. A run that fails leaves everything as it was.
     """
@@ -105,7 +111,7 @@ def replace_months(
     change.derive_months(done)
     change.refresh_marts(done)
     now = warehouse.at(change.commit())
-    summarise_months(now, done)
+    summarise_months(now, done, sources or {})
     loaded = now.staging().where(in_months(done)).count()
     return RunReport(tuple(done), loaded, now.zones().count())
 
@@ -129,7 +135,7 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> dict[str, Any]:
     for month, profile in profiles.items():
         write_profile(spark, profile, warehouse.path(f"profiles/raw_profile_{month.year:04d}_{month.month:02d}_{month.service}"))
     report = replace_months(
-        trips, read_zone_file(spark, config.zone_path), warehouse, config.ingested_at, config.raw_paths
+        trips, read_zone_file(spark, config.zone_path), warehouse, config.ingested_at, config.raw_paths, sources=config.raw_paths
     )
     relations = warehouse.relations()
     checks = run_checks(relations, standard_checks(config.rules))

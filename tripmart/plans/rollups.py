@@ -31,8 +31,8 @@ AVERAGED = ("miles", "fares", "minutes", "speeds", "yields")
 COUNTERS = ("trips", "airport_trips", "warned_trips", *(f"{name}_n" for name in AVERAGED))
 
 
-def _rollup(trips: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    measures = [F.count("*").alias("trips")]
+def _rollup(trips: DataFrame, keys: tuple[str, ...], *more: Column) -> DataFrame:
+    measures = [F.count("*").alias("trips"), *more]
     measures += [F.sum(column).alias(name) for name, column in SUMMED.items()]
     measures += [F.count(SUMMED[name]).alias(f"{name}_n") for name in AVERAGED]
     measures.append(F.count_if("is_airport_trip").alias("airport_trips"))
@@ -41,7 +41,18 @@ def _rollup(trips: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 
 def time_rollup(trips: DataFrame, *month_columns: str) -> DataFrame:
-    return _rollup(trips, (*month_columns, *TIME_KEYS))
+    return _rollup(trips, (*month_columns, *TIME_KEYS), F.max("ingested_at").alias("newest"))
+
+
+def fact_figures(by_time: DataFrame, service: str) -> DataFrame:
+    """One row on the fact, from its time rollup: trips, trips of the service, first and last date, newest stamp."""
+    return by_time.agg(
+        F.coalesce(F.sum("trips"), F.lit(0).cast("bigint")).alias("trips"),
+        F.coalesce(F.sum(F.when(F.col("service") == service, F.col("trips"))), F.lit(0).cast("bigint")).alias("of_service"),
+        F.min("pickup_date").alias("first"),
+        F.max("pickup_date").alias("last"),
+        F.max("newest").alias("newest"),
+    )
 
 
 def route_rollup(trips: DataFrame, *month_columns: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tripmart.config import SERVICES
 from tripmart.errors import EmptyResult, InvalidRequest, MissingRelation, UnknownZone
 from tripmart.operators.paging import DEFAULT_LIMIT, Page, PageRequest, at_zone, cut, in_dates
-from tripmart.plans.rollups import arrivals_by_zone, overview_totals, route_rollup, time_rollup, zone_totals
+from tripmart.plans.rollups import arrivals_by_zone, fact_figures, overview_totals, route_rollup, time_rollup, zone_totals
 
 Relations = Mapping[str, DataFrame]
 
@@ -238,10 +238,19 @@ def write_daily_csv(
     rows.coalesce(1).write.mode("overwrite").csv(folder, header=True)
 
 
+def _fact_figures(relations: Relations) -> DataFrame:
+    """Counts, dates and newest stamp of the fact; where the time rollup is stored, no trip is read for them."""
+    if "time_rollup" in relations:
+        return fact_figures(relations["time_rollup"], SERVICES[0])
+    return fact_figures(time_rollup(_relation(relations, "fct_trips"), "service"), SERVICES[0])
+
+
 def row_counts(relations: Relations, names: tuple[str, ...] = KEY_RELATIONS) -> DataFrame:
     """Rows per relation, as (relation, row_count)."""
     counts = [
-        _relation(relations, name).agg(F.count("*").alias("row_count")).select(F.lit(name).alias("relation"), "row_count")
+        _fact_figures(relations).select(F.lit(name).alias("relation"), F.col("trips").alias("row_count"))
+        if name == "fct_trips"
+        else _relation(relations, name).agg(F.count("*").alias("row_count")).select(F.lit(name).alias("relation"), "row_count")
         for name in names
     ]
     return reduce(DataFrame.unionByName, counts)
@@ -249,19 +258,18 @@ def row_counts(relations: Relations, names: tuple[str, ...] = KEY_RELATIONS) ->
 
 def metadata(relations: Relations) -> DataFrame:
     """Service, its state, covered dates and a row count per key relation, in one row."""
-    service = SERVICES[0]
-    of_service = _relation(relations, "fct_trips").where(F.col("service") == service)
-    dates = _by_time(relations).agg(F.min("pickup_date").alias("first"), F.max("pickup_date").alias("last"))
-    known = row_counts(relations).unionByName(
-        of_service.agg(F.count("*").alias("row_count")).withColumn("relation", F.lit("of_service"))
-    )
-    facts = known.unionByName(dates, allowMissingColumns=True)
+    _relation(relations, "fct_trips")
+    figures = _fact_figures(relations)
+    of_fact = [F.struct(F.lit(label).alias("relation"), F.col(name).alias("row_count")) for label, name in (("fct_trips", "trips"), ("of_service", "of_service"))]
+    facts = figures.select("first", "last", F.inline(F.array(*of_fact)))
+    others = tuple(name for name in KEY_RELATIONS if name != "fct_trips")
+    facts = facts.unionByName(row_counts(relations, others), allowMissingColumns=True)
 
     def rows(name: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("relation") == name, F.col("row_count"))), F.lit(0))
 
     return facts.agg(
-        F.lit(service).alias("service"),
+        F.lit(SERVICES[0]).alias("service"),
         F.when(rows("of_service") > 0, "available").otherwise("empty").alias("service_status"),
         F.min("first").alias("start_date"),
         F.max("last").alias("end_date"),
@@ -270,7 +278,7 @@ def metadata(relations: Relations) -> DataFrame:
 
 
 def freshness(relations: Relations) -> DataFrame:
-    return _relation(relations, "fct_trips").agg(F.max("ingested_at").alias("data_freshness"))
+    return _fact_figures(relations).select(F.col("newest").alias("data_freshness"))
 
 
 def readiness(relations: Relations) -> DataFrame:

@@ -118,6 +118,11 @@ class Warehouse:
         rows = self.spark.read.schema(placed).parquet(self.path(name))
         return rows.where(snapshot.holds(name, [F.col(key) for key in keys])).drop(COMMIT)
 
+    def month_folder(self, outcome: str, month: Month) -> str:
+        """Where this snapshot keeps a month's rows of one outcome."""
+        commit = self.snapshot.parts("trips")[f"{month.service}/{month.year}/{month.month}"]
+        return self.path(f"trips/{COMMIT}={commit}/outcome={outcome}/service={month.service}/source_year={month.year}/source_month={month.month}")
+
     def outcome(self, outcome: str) -> DataFrame:
         """Classified rows of one outcome, in contract column order."""
         stored = self._read("trips", TRIPS_SCHEMA, MONTH_COLUMNS).where(F.col("outcome") == outcome)

@@ -14,6 +14,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Do not record the Python call site of every column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # A mart has a folder for each pickup month; listing ten years of them is no job of its own.
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "128",
     # Pages far down a list sort across the cluster instead of keeping limit+offset rows per task.
     "spark.sql.execution.topKSortFallbackThreshold": "1000000",
 }

@@ -13,7 +13,7 @@ from tripmart.errors import SummaryError
 SUMMARY_SCHEMA = (
     "service string, year bigint, month bigint, validated_at string, total_rows bigint, "
     "status_counts struct<valid: bigint, warning: bigint, rejected: bigint>, "
-    "rule_counts map<string, bigint>"
+    "rule_counts map<string, bigint>, source_path string, outputs struct<validated: string, rejected: string>"
 )
 # Fixed value: artifact names start with year and month. A document is named by the last folder that carries its
 # name as partition value, or else by its file; folders further up play no part.
