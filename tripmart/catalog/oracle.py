@@ -269,6 +269,10 @@ ODD_LIST = f"""
            total_amount, duration_minutes, average_speed_mph, revenue_per_mile, is_airport_trip,
            quality_status, quality_reasons
     FROM odd {ENDS}"""
+# Unusual trips by distance with their number, page, and the number of the first row of equal key and ties.
+PLACED = f"""
+    SELECT *, (n - 1) // 25 + 1 AS page, min(n) OVER (PARTITION BY trip_distance, trip_id) AS first
+    FROM (SELECT *, row_number() OVER (ORDER BY trip_distance DESC NULLS LAST, trip_id) AS n FROM ({ODD_LIST}))"""
 COUNTED = {
     "fct_trips": "fact",
     "dim_zone": "dimz",
@@ -505,9 +509,17 @@ ORACLE: dict[str, str] = {
         ),
         "odd",
     ),
+    "anomalies_third_page": sql(f"{ODD_LIST} ORDER BY total_amount DESC NULLS LAST, trip_id LIMIT 40 OFFSET 80", "odd"),
+    "anomaly_page_starts": sql(f"SELECT page, trip_distance, trip_id, n - first AS skip FROM ({PLACED}) WHERE (n - 1) % 25 = 0", "odd"),
+    "anomalies_last_page": sql(f"SELECT * EXCLUDE (n, first, page) FROM ({PLACED}) WHERE page = (SELECT max(page) FROM ({PLACED}))", "odd"),
+    "dashboard_daily": sql("FROM daily ORDER BY pickup_date LIMIT 20", "daily"),
     "dashboard_hourly": sql(
         "FROM hourly ORDER BY pickup_hour, pickup_date LIMIT 24", "hourly"
     ),
+    "dashboard_revenue": sql("FROM revenue ORDER BY pickup_date, payment_type LIMIT 20", "revenue"),
+    "dashboard_zones": sql(f"{ZONE_LIST} ORDER BY pickup_trip_count DESC, zone_id LIMIT 20", "demand"),
+    "dashboard_routes": sql(f"{ROUTE_LIST} ORDER BY trip_count DESC, pickup_zone_id, dropoff_zone_id LIMIT 20", "route"),
+    "dashboard_anomalies": sql(f"{ODD_LIST} ORDER BY pickup_datetime DESC NULLS LAST, trip_id LIMIT 20", "odd"),
     "daily_export": sql(f"FROM daily WHERE {DATES} ORDER BY pickup_date", "daily"),
     "metadata": sql(
         "SELECT 'yellow' AS service, if(count_if(service = 'yellow') > 0, 'available', 'empty') AS service_status, "

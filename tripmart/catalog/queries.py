@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from tripmart.operators import classify as c
 from tripmart.operators import reports, summary
 from tripmart.operators.checks import run_checks, standard_checks
 from tripmart.operators.ordinals import file_counts, file_offsets, with_global_ordinal
-from tripmart.operators.paging import PageRequest
+from tripmart.operators.paging import PageRequest, index_pages
 from tripmart.operators.profile import profile_columns
 from tripmart.operators.ranking import hot_records, rank_copies, survey_months, with_record_hash
 from tripmart.plans import models, serving
@@ -298,8 +299,31 @@ def page_totals(spark, sf_dir):
     )
 
 
-def dashboard_hourly(spark, sf_dir):
-    return serving.dashboard(_served(spark, sf_dir), limit=20)["hourly"].items
+def anomalies_third_page(spark, sf_dir):
+    """The third page, reached by the tokens of the two before it."""
+    request = PageRequest("total_amount", "desc", limit=40)
+    for _ in range(2):
+        page = serving.anomalies(driver_relations(spark, sf_dir), page=request)
+        request = replace(request, after=page.next_token)
+    return serving.anomalies(driver_relations(spark, sf_dir), page=request).items
+
+
+def anomaly_page_starts(spark, sf_dir):
+    """First row of each page of all unusual trips by distance; many share a distance."""
+    page = serving.anomalies(driver_relations(spark, sf_dir), page=PageRequest("trip_distance", "desc", limit=25))
+    return index_pages(page).starts
+
+
+def anomalies_last_page(spark, sf_dir):
+    """The last page of all unusual trips by distance, through the index of page starts."""
+    relations = driver_relations(spark, sf_dir)
+    index = index_pages(serving.anomalies(relations, page=PageRequest("trip_distance", "desc", limit=25)))
+    last = index.starts.agg(F.max("page")).first()[0]
+    return serving.anomalies(relations, page=index.request_for(last)).items
+
+
+def _dashboard(name: str) -> Query:
+    return lambda spark, sf_dir: serving.dashboard(_served(spark, sf_dir), limit=20)[name].items
 
 
 def daily_export(spark, sf_dir):
@@ -483,7 +507,15 @@ QUERIES: dict[str, Query] = {
     "anomalies": anomalies,
     "anomalies_by_speed": anomalies_by_speed,
     "page_totals": page_totals,
-    "dashboard_hourly": dashboard_hourly,
+    "anomalies_third_page": anomalies_third_page,
+    "anomaly_page_starts": anomaly_page_starts,
+    "anomalies_last_page": anomalies_last_page,
+    "dashboard_daily": _dashboard("daily"),
+    "dashboard_hourly": _dashboard("hourly"),
+    "dashboard_revenue": _dashboard("revenue"),
+    "dashboard_zones": _dashboard("zones"),
+    "dashboard_routes": _dashboard("routes"),
+    "dashboard_anomalies": _dashboard("anomalies"),
     "daily_export": daily_export,
     "metadata": metadata,
     "freshness": freshness,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tripmart.config import SERVICES
 from tripmart.errors import EmptyResult, InvalidRequest, MissingRelation, UnknownZone
-from tripmart.operators.paging import DEFAULT_LIMIT, Page, PageRequest, at_zone, cut, in_dates
+from tripmart.operators.paging import DEFAULT_LIMIT, Page, PageRequest, at_zone, in_dates, page_of
 from tripmart.plans.rollups import arrivals_by_zone, fact_figures, overview_totals, route_rollup, time_rollup, zone_totals
 
 Relations = Mapping[str, DataFrame]
@@ -94,7 +94,7 @@ def daily_metrics(
     page: PageRequest = PageRequest("pickup_date"),
 ) -> Page:
     rows = in_dates(_relation(relations, "mart_daily_trip_metrics"), start, end)
-    return Page(cut(rows, page, _same(DAILY_SORTS), ("pickup_date",)), rows, "daily metrics")
+    return page_of(rows, page, _same(DAILY_SORTS), ("pickup_date",), rows, "daily metrics")
 
 
 def hourly_demand(
@@ -104,8 +104,7 @@ def hourly_demand(
     page: PageRequest = PageRequest("pickup_date"),
 ) -> Page:
     rows = in_dates(_relation(relations, "mart_hourly_demand"), start, end)
-    items = cut(rows, page, _same(HOURLY_SORTS), ("pickup_date", "pickup_hour"))
-    return Page(items, rows, "hourly demand")
+    return page_of(rows, page, _same(HOURLY_SORTS), ("pickup_date", "pickup_hour"), rows, "hourly demand")
 
 
 def revenue_metrics(
@@ -115,8 +114,7 @@ def revenue_metrics(
     page: PageRequest = PageRequest("pickup_date"),
 ) -> Page:
     rows = in_dates(_relation(relations, "mart_revenue_metrics"), start, end)
-    items = cut(rows, page, _same(REVENUE_SORTS), ("pickup_date", "payment_type"))
-    return Page(items, rows, "revenue metrics")
+    return page_of(rows, page, _same(REVENUE_SORTS), ("pickup_date", "payment_type"), rows, "revenue metrics")
 
 
 def zones(relations: Relations, page: PageRequest = PageRequest("zone_id")) -> Page:
@@ -134,7 +132,7 @@ def zones(relations: Relations, page: PageRequest = PageRequest("zone_id")) -> P
         F.coalesce("total_revenue", F.lit(0.0)).alias("total_revenue"),
         "average_trip_distance",
     )
-    return Page(cut(listed, page, _same(ZONE_SORTS), ("zone_id",)), dimension, "zones")
+    return page_of(listed, page, _same(ZONE_SORTS), ("zone_id",), dimension, "zones")
 
 
 def zone_summary(
@@ -164,7 +162,7 @@ def top_dropoff_zones(relations: Relations, page: PageRequest = PageRequest("dro
     zones = _relation(relations, "dim_zone").select("zone_id", "borough", "zone_name")
     rows = zones.join(arrived, "zone_id", "left").withColumn("dropoff_trip_count", F.coalesce("dropoff_trip_count", F.lit(0)))
     rows = rows.withColumn("total_revenue", F.coalesce("total_revenue", F.lit(0.0)))
-    return Page(cut(rows, page, _same(DROPOFF_SORTS), ("zone_id",)), zones, "zones")
+    return page_of(rows, page, _same(DROPOFF_SORTS), ("zone_id",), zones, "zones")
 
 
 def top_routes(
@@ -186,8 +184,7 @@ def top_routes(
         "average_duration_minutes",
         "total_revenue",
     )
-    items = cut(named, page, _same(ROUTE_SORTS), ("pickup_zone_id", "dropoff_zone_id"))
-    return Page(items, routes, "route metrics")
+    return page_of(named, page, _same(ROUTE_SORTS), ("pickup_zone_id", "dropoff_zone_id"), routes, "route metrics")
 
 
 def anomalies(
@@ -220,7 +217,7 @@ def anomalies(
         "quality_status",
         "quality_reasons",
     )
-    return Page(cut(named, page, _same(ANOMALY_SORTS), ("trip_id",)), trips, "anomalous trips")
+    return page_of(named, page, _same(ANOMALY_SORTS), ("trip_id",), trips, "anomalous trips")
 
 
 def daily_export(relations: Relations, start: date | None = None, end: date | None = None) -> DataFrame:
