@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
+from tripmart.llm import page_tree
 from tripmart.llm.page_tree import Reader
-from tripmart.llm.site_style import SiteStyle, extract_main_text, importances, main_text
+from tripmart.llm.site_style import SiteStyle, extract_main_text, importances, low_branches, main_text
 
 PAGES = "page_id long, url string, html string, host string, low string"
 
@@ -52,7 +55,35 @@ def test_branches_that_a_site_repeats_go(spark):
     found = {r.page_id: r.text for r in extract_main_text(pages_of(spark, rows)).collect()}
     assert found == {k: f"Story {k} begins and ends {k}" for k in range(40)}
     few = {r.page_id: r.text for r in extract_main_text(pages_of(spark, rows[:5])).collect()}
-    assert few[3] == "Welcome to the site Story 3 begins and ends 3 Call us"
+    assert few == {k: f"Story {k} begins and ends {k}" for k in range(5)}
+    alone = extract_main_text(pages_of(spark, rows[3:4])).first()
+    assert alone.text == "Welcome to the site Story 3 begins and ends 3 Call us"
+
+
+@pytest.mark.parametrize("pages", [2, 5, 60])
+def test_the_tree_works_without_names(spark, monkeypatch, pages):
+    """No class words, no nav, footer and aside, no lists of links, and no header element in the pages: entropy alone tells menus, footers and notices, some with changing entries."""
+    monkeypatch.setattr(page_tree, "PART_WORDS", frozenset())
+    monkeypatch.setattr(page_tree, "PART_TAGS", page_tree.PART_TAGS - {"nav", "footer", "aside"})
+    page = """<body><div class=masthead><a href=/>The Daily Page</a></div><nav><ul>{menu}<li><a href=/t{k}>Topic {k}</a></ul></nav>
+    <div class=notice>We use cookies. Read more about it! Visitor number {k}</div><aside class=side><p>Most read stories</p><p>Write to us</p></aside>
+    <div class=body><h1>Title of {k}</h1><p>It began on day {k}, and went on for {k} more. On day {k} it was over.</p><p>So number {k} ends.</p></div>
+    <footer><p>&copy; Daily Page. All rights reserved. Printed in town. Page {k}</p></footer></body>"""
+    menu = "".join(f"<li><a href=/{name}>{name}</a>" for name in ("News", "Sports", "Arts", "Travel", "Science", "Games"))
+    rows = [(k, f"http://h.example/{k}", page.format(k=k, menu=menu)) for k in range(pages)]
+    low = low_branches(spark.createDataFrame([("h", html) for _, _, html in rows], "host string, html string"), SiteStyle()).first().low
+    for _, _, html in rows[:5]:
+        elements, blocks = page_tree.Reader().read(html)
+        assert not any(own.part for own in elements)
+        text = main_text(elements, blocks, frozenset(low), SiteStyle(min_links=10**6))
+        k = int(text.split()[2])
+        assert text == f"Title of {k} It began on day {k}, and went on for {k} more. On day {k} it was over. So number {k} ends."
+
+
+def test_copies_alone_on_a_host_stay(spark):
+    """All pages of a host are the same: everything repeats, so the tree has no say."""
+    rows = [(k, "http://h.example/", "<nav>Menu</nav><div><h1>Head</h1><p>Same text</p></div>") for k in range(4)]
+    assert {r.text for r in extract_main_text(pages_of(spark, rows)).collect()} == {"Head Same text"}
 
 
 def test_blocks_on_a_small_share_of_a_host_go(spark):

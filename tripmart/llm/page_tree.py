@@ -43,16 +43,18 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _MARKED = re.compile(r"class|id|role|style|hidden", re.I)
+_TARGET = re.compile(r"\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("tag", "style", "parent", "path", "part", "main", "children", "blocks", "text_chars", "link_chars", "links")
+    __slots__ = ("tag", "style", "parent", "path", "part", "main", "children", "blocks", "text_chars", "link_chars", "links", "target")
 
     def __init__(self, tag: str, style: str, parent: int, path: int, part: bool, main: bool):
         self.tag, self.style, self.parent, self.path, self.part, self.main = tag, style, parent, path, part, main
         self.children: list[str] = []
         self.text_chars = self.link_chars = self.links = 0
+        self.target = ""
 
 
 class Reader:
@@ -187,6 +189,8 @@ class Reader:
                 above.children.append(style)
             if tag == "a":
                 element.links = 1
+                target = _TARGET.search(attributes)
+                element.target = next((x for x in target.groups() if x), "") if target else ""
             stack.append(len(elements))
             opened[tag] = opened.get(tag, 0) + 1
             elements.append(element)
