@@ -147,3 +147,45 @@ def test_ordinals_run_through_all_files(spark, tmp_path, files_per_range):
 def test_ordinals_of_no_files(spark):
     rows = spark.createDataFrame([], "source_file string, source_row_number long")
     assert with_global_ordinal(rows, file_offsets(file_counts(rows)), "ordinal").collect() == []
+
+
+def final_plan(frame) -> str:
+    """The plan as it was run, with the changes made at run time."""
+    ran = frame._jdf.queryExecution().executedPlan()
+    ran.executeCollect()
+    return ran.toString().split("Initial Plan")[0]
+
+
+def numbered_files(spark, folder, known):
+    spark.range(300_000).repartition(10).write.parquet(folder)
+    rows = spark.read.parquet(folder).select(
+        "id", F.col("_metadata.file_path").alias("source_file"), (F.col("_metadata.row_index") + 1).alias("source_row_number")
+    )
+    return with_global_ordinal(rows, file_offsets(file_counts(rows), known, 10 if known else 3), "ordinal").agg(F.sum("ordinal").alias("total"))
+
+
+def test_rows_are_never_broadcast_to_their_offsets(spark, tmp_path):
+    numbered = numbered_files(spark, str(tmp_path / "files"), None)
+    text = final_plan(numbered)
+    assert "BroadcastHashJoin [source_file" in text and "Inner, BuildLeft" not in text
+    assert numbered.first().total == 300_000 * 300_001 // 2
+
+
+def test_rows_are_not_shuffled_for_their_offsets(spark, tmp_path):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    try:
+        for known in (None, 10):
+            numbered = numbered_files(spark, str(tmp_path / f"files-{known}"), known)
+            assert "SortMergeJoin" not in final_plan(numbered)
+            assert numbered.first().total == 300_000 * 300_001 // 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_offsets_of_very_many_files_are_joined_by_a_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tripmart.operators.ordinals.BROADCAST_FILES", 5)
+    numbered = numbered_files(spark, str(tmp_path / "files"), None)
+    text = final_plan(numbered)
+    assert "SortMergeJoin" in text and "Inner, BuildLeft" not in text
+    assert numbered.first().total == 300_000 * 300_001 // 2
