@@ -103,3 +103,9 @@ def test_hot_records_are_joined_by_broadcast_and_sliced(spark):
     for kind in ("LeftAnti", "LeftSemi"):
         assert re.search(rf"BroadcastHashJoin \[_record_key#\w+\], \[_record_key#\w+\], {kind}", text)
     assert "_slice" in text and "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize("name", ["classified_trips", "validated_trips", "duplicate_rank"])
+def test_lines_and_orders_are_joined_once_before_trips_are_read_again(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "l_orderkey" not in text and "FileScan parquet" in text
