@@ -15,7 +15,7 @@ from tripmart.config import MONTH_COLUMNS, Month, Rules
 from tripmart.errors import InvalidRequest, SchemaError
 from tripmart.functions.trip import exact_minutes, record_hash, record_text, trip_id
 from tripmart.operators.classify import classify, with_measures
-from tripmart.operators.ranking import hot_records, rank_copies, survey_months
+from tripmart.operators.ranking import hot_records, rank_copies, survey_days, survey_months
 from tripmart.operators.summary import rule_counts, status_counts, validation_summary
 from tripmart.sources.schema import CLASSIFIED_SCHEMA, conform
 
@@ -263,6 +263,37 @@ def test_hot_records_are_found_and_ranked_exactly(raw_trips):
     assert _ranks(rank_copies(trips, buckets=F.lit(3))) == _ranks(plain)
 
 
+def _of_days(raw_trips, month=(2026, 1)):
+    """Ten days of seven trips, one of 90, and trips without pickup; every trip has a copy."""
+    pickups = [START + timedelta(days=day, minutes=n) for day in range(10) for n in range(7)]
+    pickups += [START + timedelta(days=30, minutes=n) for n in range(90)] + [None] * 3
+    return conform(raw_trips([trip(tpep_pickup_datetime=pickup, tip_amount=n / 4) for n, pickup in enumerate(pickups)] * 2, month))
+
+
+def test_a_pickup_day_lies_in_one_task_unless_it_is_very_large(raw_trips):
+    trips = _of_days(raw_trips).unionByName(_of_days(raw_trips, (2026, 2)))
+    surveys = survey_months(trips)
+    days = survey_days(trips, surveys, rows_per_task=40)
+    assert days.tasks == math.ceil(trips.count() / 40)
+    assert days.parts == {"yellow/2026/1/2026-02-08": 5, "yellow/2026/2/2026-02-08": 5}
+    plain = _ranks(rank_copies(trips))
+    hot = hot_records(survey_months(trips, hot_group_rows=2))
+    for buckets in (None, F.lit(6)):
+        ranked = rank_copies(trips, buckets=buckets, days=days)
+        assert _ranks(ranked) == plain and ranked.columns == rank_copies(trips).columns
+        assert _ranks(rank_copies(trips, hot, buckets, slice_rows=1, days=days)) == plain
+        placed = ranked.withColumn("task", F.spark_partition_id()).groupBy(*MONTH_COLUMNS, F.to_date("pickup_datetime").alias("day"))
+        placed = placed.agg(F.count("*").alias("rows"), F.countDistinct("task").alias("tasks"))
+        for row in placed.collect():
+            assert 1 < row.tasks <= 5 if row.rows > 40 else row.tasks == 1, row
+
+
+def test_few_trips_are_dealt_as_the_session_says(raw_trips):
+    trips = _of_days(raw_trips)
+    days = survey_days(trips, survey_months(trips))
+    assert days.tasks is None and days.parts == {}
+
+
 def test_no_task_holds_a_hot_group(raw_trips):
     trips = _skewed(raw_trips)
     hot = hot_records(survey_months(trips, hot_group_rows=50))

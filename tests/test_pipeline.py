@@ -178,6 +178,22 @@ def test_splitting_hot_records_changes_no_row(spark, raw_trips, zone_file, tmp_p
     assert stored[0] == stored[1] and len(stored[0]) == 115
 
 
+@pytest.mark.parametrize("months", [[JAN], [JAN, FEB]])
+def test_a_stored_pickup_day_lies_in_one_file_so_that_rollups_shuffle_little(spark, load, months):
+    warehouse, run = load
+    rows = [trip(tpep_pickup_datetime=(start := START + timedelta(days=day, minutes=n)), tpep_dropoff_datetime=start + timedelta(minutes=9)) for day in range(12) for n in range(8)]
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        run(*[(month, rows) for month in months])
+    finally:
+        spark.conf.set(setting, "true")
+    stored = warehouse.staging().select("source_month", F.to_date("pickup_datetime").alias("day"), F.input_file_name().alias("file"))
+    days = stored.groupBy("source_month", "day").agg(F.count("*").alias("rows"), F.countDistinct("file").alias("files")).collect()
+    assert len(days) == 12 * len(months) and all((row.rows, row.files) == (8, 1) for row in days)
+    assert stored.select("file").distinct().count() > len(months)
+
+
 def test_checks_count_violations(spark, load):
     warehouse, run = load
     run((JAN, DEMO), (FEB, [trip()]))
