@@ -109,3 +109,11 @@ def test_hot_records_are_joined_by_broadcast_and_sliced(spark):
 def test_lines_and_orders_are_joined_once_before_trips_are_read_again(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
     assert "l_orderkey" not in text and "FileScan parquet" in text
+
+
+@pytest.mark.parametrize("name", ["classified_trips", "validated_trips", "duplicate_rank"])
+def test_trips_are_shuffled_once_by_day_without_their_record_key(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert trip_shuffles(text) == ["_place"]
+    below = text[text.index("Exchange hashpartitioning(_place") :]
+    assert "_record_key" not in below and "source_row_number" in below
